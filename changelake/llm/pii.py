@@ -12,6 +12,7 @@ column is replaced; an empty table stays empty; repeated rows are each scored.
 
 from __future__ import annotations
 
+import bisect
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,7 @@ def _score(kind: str, text: str, start: int) -> float:
 def find_pii(text: str, threshold: float = 0.6) -> list[tuple[str, int, int, float]]:
     """Spans of one text, by kind as listed, then start. Base spans stay whatever their score."""
     base = [("email", *x) for x in _emails(text)] if "@" in text else []
+    more: list[tuple[str, int, int]] = []
     if _DIGIT.search(text):
         if "." in text:
             base += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if _octets(m.groups())]
@@ -104,12 +106,12 @@ def find_pii(text: str, threshold: float = 0.6) -> list[tuple[str, int, int, flo
         more += [("bare_card", m.start(), m.end()) for m in _CARD.finditer(text) if 13 <= m.end() - m.start() <= 29 and 13 <= len(d := _digits(m[0])) <= 15 and luhn(d)]
         more += [("bare_phone", m.start(), m.end()) for m in _BARE_PHONE.finditer(text)]
         more += [("national_id", m.start(), m.end()) for m in _NATIONAL.finditer(text)]
-    else:
-        more = []
     out = [(k, a, b, max(0.6, _score(k, text, a))) for k, a, b in base]
+    taken = spans.union([(a, b) for _, a, b, _ in out])
     for k, a, b in more:
-        if (score := _score(k, text, a)) >= threshold and not any(a < y and x < b for _, x, y, _ in out):
+        if (score := _score(k, text, a)) >= threshold and not spans.overlaps(taken, a, b):
             out.append((k, a, b, score))
+            bisect.insort(taken, (a, b))
     return spans.ordered(out, KINDS, by_kind=True)
 
 

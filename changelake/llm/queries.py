@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii
+from . import pii, secrets_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_secrets": secrets_scan.op4_secrets,
     "op8_pii": pii.op8_pii,
 }
 ORACLE_SQL: dict[str, str] = {}

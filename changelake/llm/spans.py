@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -59,3 +60,20 @@ def cut_out(text: str, spans: list[tuple[int, int, str]]) -> str:
             out += [text[at:start], new]
         at = max(at, end)
     return "".join(out) + text[at:]
+
+
+def union(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Disjoint sorted spans that cover the same places."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def overlaps(disjoint: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether [start, end) meets one of the disjoint sorted spans."""
+    i = bisect.bisect_left(disjoint, (end,))
+    return i > 0 and disjoint[i - 1][1] > start
