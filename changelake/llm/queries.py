@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, secrets_scan
+from . import packing, pii, secrets_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": secrets_scan.op4_secrets,
     "op8_pii": pii.op8_pii,
+    "op10_pack": packing.op10_pack,
 }
 ORACLE_SQL: dict[str, str] = {}
