@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pii, secrets_scan
+from . import decontaminate, language_id, packing, pii, secrets_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": secrets_scan.op4_secrets,
+    "op5_language": language_id.op5_language,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_pii": pii.op8_pii,
     "op10_pack": packing.op10_pack,
 }
