@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, packing, pii, secrets_scan
+from . import decontaminate, language_id, ngram_join, packing, pii, secrets_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": secrets_scan.op4_secrets,
     "op5_language": language_id.op5_language,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_pii": pii.op8_pii,
+    "op9_near_duplicates": ngram_join.op9_near_duplicates,
     "op10_pack": packing.op10_pack,
 }
 ORACLE_SQL: dict[str, str] = {}
