@@ -26,15 +26,21 @@ from . import textkit
 from .scratch import Scratch
 
 CAPACITY = 4096
-SALTS = 64
+SALTS = 16
 #: Words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+
+
+#: ASCII marks that, behind a letter or digit, are always tokens of their own.
+_MARKS = ".,;:!?|%&*$#()"
 
 
 class _Ids(dict):
     """Little-endian uint32 ids of a word, made when first asked for.
 
-    The vocabulary drops white space and no token or normalisation crosses a space or line feed, so a text's ids are those of its words.
+    The vocabulary drops white space and no token or normalisation crosses a space or line feed, so a text's ids are those of its words;
+    nor does one cross from a letter or digit to the marks behind it, and ASCII capitals count as small letters, so that most words
+    need no encoding of their own. Words not asked for while CACHE_WORDS others were are forgotten.
     """
 
     def __init__(self, path: str):
@@ -42,10 +48,20 @@ class _Ids(dict):
 
         super().__init__()
         self.encode = Tokenizer.from_file(path).encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = b"".join(i.to_bytes(4, "little") for i in self.encode(word, add_special_tokens=False).ids) if word else b""
+        ids = self.older.get(word)
+        if ids is None:
+            core = word.rstrip(_MARKS)
+            if core != word and core and core[-1].lower().isalnum():
+                ids = self[core] + self[word[len(core) :]]
+            elif word.isascii() and (low := word.lower()) != word:
+                ids = self[low]
+            else:
+                ids = b"".join(i.to_bytes(4, "little") for i in self.encode(word, add_special_tokens=False).ids) if word else b""
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
         self[word] = ids
         return ids
