@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, ngram_join, packing, pii, secrets_scan
+from . import decontaminate, language_id, ngram_join, packing, pii, secrets_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op4_secrets": secrets_scan.op4_secrets,
     "op5_language": language_id.op5_language,
     "op7_decontaminate": decontaminate.op7_decontaminate,

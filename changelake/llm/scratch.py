@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -30,10 +31,16 @@ class Scratch:
         path = f"{self.root}/{self.n:03d}-{name}"
         self.n += 1
         df.write.parquet(path)
+        self.release()
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out
 
+    def release(self) -> None:
+        """Lets go of the shuffle files of finished steps, which otherwise stay until the driver happens to collect its garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         """Deletes a table that table() gave and that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm
