@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, ngram_join, packing, pii, secrets_scan, substring_dedup, toxicity
+from . import decontaminate, html_extract, language_id, ngram_join, packing, pii, secrets_scan, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op2_html": html_extract.op2_html,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_secrets": secrets_scan.op4_secrets,
     "op5_language": language_id.op5_language,

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once by one task (a single longer document is handled alone).
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
