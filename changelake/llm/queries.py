@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, ngram_join, packing, pii, secrets_scan, substring_dedup, toxicity
+from . import ann, decontaminate, html_extract, language_id, ngram_join, packing, pii, secrets_scan, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_secrets": secrets_scan.op4_secrets,
     "op5_language": language_id.op5_language,
+    "op6_nearest": ann.op6_nearest,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_pii": pii.op8_pii,
     "op9_near_duplicates": ngram_join.op9_near_duplicates,
