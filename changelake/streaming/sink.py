@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -23,8 +23,9 @@ from ..operators.merge import current, key_change_tombstones, latest, soft_delet
 from ..plans.ddl import parse
 from ..plans.registry import Registry, SchemaError, Table, physical, view
 
-#: Order of events: older first. Rows of one position keep their order, a tombstone of an old key comes before the new row.
-SEQ = F.struct(F.col("position.file").alias("file"), F.col("position.offset").alias("offset"), F.coalesce("ordinal", F.lit(0)).alias("ordinal"), (~F.col("id").endswith(":old")).cast("int").alias("part"))
+def seq() -> Column:
+    """Order of events, older first. Rows of one position keep their order, a tombstone of an old key comes before the new row."""
+    return F.struct(F.col("position.file").alias("file"), F.col("position.offset").alias("offset"), F.coalesce("ordinal", F.lit(0)).alias("ordinal"), (~F.col("id").endswith(":old")).cast("int").alias("part"))
 
 
 class Files:
@@ -90,7 +91,7 @@ class ChangeLog:
     def apply(self, events: DataFrame, batch_id: int) -> None:
         """Writes one batch of events (model.EVENT). Call it again with the same number after a failure."""
         registry = self.registry(before=batch_id)
-        events = events.where(self.tables.events(F.col("op"), F.col("database"), F.col("table"))).withColumn("_seq", SEQ).persist(StorageLevel.DISK_ONLY)
+        events = events.where(self.tables.events(F.col("op"), F.col("database"), F.col("table"))).withColumn("_seq", seq()).persist(StorageLevel.DISK_ONLY)
         try:
             # Schema changes are few; they are all that the driver sees of a batch.
             changes = events.where(F.col("op") == DDL).select("_seq", "sql", "database").orderBy("_seq").collect()
@@ -125,7 +126,7 @@ class ChangeLog:
                 continue
             table = registry.get(name)
             if self.tombstones and table.keys:
-                own = key_change_tombstones(own.drop("_seq"), table.keys).withColumn("_seq", SEQ)
+                own = key_change_tombstones(own.drop("_seq"), table.keys).withColumn("_seq", seq())
             rows = soft_deletes(own)
             values = {f: convert(F.col("data")[f.name], f.type) if f.default in (None, "NULL") else F.when(F.map_contains_key("data", F.lit(f.name)), convert(F.col("data")[f.name], f.type)).otherwise(F.expr(f.default).cast(f.type)) for f in map(_Hashable, table.fields)}
             bad = F.lit(False)
