@@ -5,16 +5,18 @@ as one). Two documents link when their Jaccard similarity is at least `percent`
 shingles, so up to |x| - T inverted lists may be left unread: DivideSkip merges the short lists of the rest and probes the long ones.
 
 1. Documents with equal sets are one class; its least id stands for it (exact copies need no pairs).
-2. Every class posts its least shingles by hash. Shingles are counted with map-side partial sums; lists of one are dropped.
+2. Every class posts its least shingles by hash. Shingles are counted with map-side partial sums; lists of one are dropped: what no other
+   document has can't be shared, so a document with u such shingles need merge u lists fewer.
 3. Stars: each class is paired with the first document of its lists, the one it meets most often, and probed exactly. Links so found give
    components, so that a group of thousands of near copies is one component after about as many probes as it has members.
 4. Lists that meet more than `heavy` components are the long ones. They go last in the order of shingles, for all documents alike: a
-   document's merged lists are the first |x| - T + 1 of its others. In these, members of different components are paired, occurrences
-   are summed (the merge), and pairs whose occurrences and unread lists can't reach the overlap drop out.
+   document's merged lists are the first |x| - T + 1 of its others that meet two components. In these, members of different components
+   are paired, occurrences are summed (the merge), and pairs whose occurrences and unread lists can't reach the overlap drop out.
 5. The rest is probed exactly: whole texts of both, binary search of one sorted set in the other. No pair of different sets whose
    documents aren't already connected is left out, and there is no cap on lists, partners or candidates.
-6. Documents with too few short lists get all their lists; if nearly all of those are long, such documents are joined among themselves
-   with a limit four times as large, and so on until none is left.
+6. Documents whose posted lists held too few short ones post all their lists, which are counted in turn, before step 4 ends. Documents
+   that still have fewer short lists than must be merged could share long ones only, and only with each other: they are joined among
+   themselves with a limit four times as large, and so on until none is left.
 
 Rows: one output row for each input row. Null and empty texts, and texts of white space only, have empty sets and link with nothing;
 rows that repeat an id are classed by their own sets; a null id has a null component; other columns are not read; empty tables stay empty.
@@ -26,17 +28,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit
 from .graph import components
-from .scratch import Scratch
+from .scratch import Scratch, among
 
 WORDS = 5
 PERCENT = 80
 HEAVY = 32
 SALTS = 32
+#: Sets of so many shingles or fewer are posted whole.
+SMALL = 128
 
 
 def shingle_sets(col: pa.Array, k: int = WORDS) -> list[np.ndarray]:
@@ -63,7 +67,7 @@ def prefix(n: int, percent: int) -> int:
 
 
 def _sets(docs: DataFrame, k: int, percent: int, whole: bool = False) -> DataFrame:
-    """doc_id, n, p (lists to merge), f1 and f2 (fingerprint of the set), tokens: the least by hash, some more than p; all, if whole."""
+    """doc_id, n, p (lists to merge), f1 and f2 (fingerprint of the set), tokens: the least by hash, some more than p; all, if whole or few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,22 +77,24 @@ def _sets(docs: DataFrame, k: int, percent: int, whole: bool = False) -> DataFra
                 p = [prefix(x, percent) if x else 0 for x in n]
                 f1 = [int(textkit.mix(s + np.uint64(1)).sum(dtype=np.uint64)) - (1 << 63) for s in sets]
                 f2 = [int(textkit.mix(s ^ np.uint64(0x5DEECE66D1234567)).sum(dtype=np.uint64)) - (1 << 63) for s in sets]
-                held = [s if whole else s[: x + x // 4 + 8] for s, x in zip(sets, p, strict=True)]
+                held = [s if whole or len(s) <= SMALL else s[: x + x // 4 + 8] for s, x in zip(sets, p, strict=True)]
                 flat = np.concatenate(held) if held else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, p, f1, f2)), textkit.long_lists(flat, np.array([len(s) for s in held]))], names=["doc_id", "n", "p", "f1", "f2", "tokens"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, p long, f1 long, f2 long, tokens array<long>")
+    return textkit.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, n long, p long, f1 long, f2 long, tokens array<long>")
 
 
 def _need(percent: int, n1: Column, n2: Column) -> Column:
     """Least overlap of linked sets: ceil(percent (n1 + n2) / (100 + percent))."""
-    return F.expr("0") + F.floor((F.lit(percent) * (n1 + n2) + F.lit(99 + percent)) / F.lit(100 + percent))
+    return F.floor((F.lit(percent) * (n1 + n2) + F.lit(99 + percent)) / F.lit(100 + percent))
 
 
-def probe(pairs: DataFrame, docs: DataFrame, k: int, percent: int, salts: int = SALTS) -> DataFrame:
+def probe(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch, salts: int = SALTS) -> DataFrame:
     """The links (a, b) among pairs (a, b), from both whole texts. A document a with many partners is spread over `salts` tasks."""
+    pairs = scratch.table(pairs, "pairs")  # so that the shuffles that made them are gone when texts are shuffled
+    ids = scratch.table(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    text = among(docs.select(F.col("doc_id").alias("id"), "text"), ids, "id")
     pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(salts)).alias("s"))
-    text = docs.select(F.col("doc_id").alias("id"), "text")
     held = pairs.select("a", "s").distinct().join(text, F.col("a") == F.col("id")).select("a", "s", F.lit(0).alias("kind"), F.col("a").alias("b"), "text")
     asked = pairs.join(text, F.col("b") == F.col("id")).select("a", "s", F.lit(1).alias("kind"), "b", "text")
     rows = held.unionByName(asked).repartition("a", "s").sortWithinPartitions("a", "s", "kind", "b")
@@ -116,7 +122,7 @@ def probe(pairs: DataFrame, docs: DataFrame, k: int, percent: int, salts: int =
                             break
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return textkit.map_arrow(rows, run, "a long, b long")
 
 
 class Join:
@@ -133,87 +139,123 @@ class Join:
         least = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
         members = keep(sets.select("doc_id", "n", "f1", "f2").join(least, ["f1", "f2", "n"], "left").select("doc_id", "n", "rep"), "members")
         reps = members.where("doc_id = rep").select("doc_id", "n").distinct()
-        postings = keep(sets.join(reps, ["doc_id", "n"], "left_semi").select(F.col("doc_id").alias("doc"), "n", "p", "tokens").dropDuplicates(["doc", "n"]), "postings")
+        postings = keep(sets.join(reps, ["doc_id", "n"], "left_semi").select(F.col("doc_id").alias("doc"), "n", "p", "tokens"), "postings")
         self.scratch.drop(sets)
         return members, postings
 
     def shared(self, postings: DataFrame) -> DataFrame:
-        """The postings of lists that two or more have: token, doc, n, p, rank, first (the list's first document)."""
-        each = postings.select("doc", "n", "p", F.posexplode("tokens").alias("rank", "token"))
+        """The postings of lists that two or more have: token, doc, rank, first (the list's first document)."""
+        each = postings.select("doc", F.posexplode("tokens").alias("rank", "token"))
         lists = self.scratch.table(each.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("first")).where("c > 1").select("token", "first"), "lists")
         return self.scratch.table(each.join(lists, "token"), "shared")
 
-    def stars(self, shared: DataFrame) -> DataFrame:
+    def stars(self, postings: DataFrame, shared: DataFrame) -> DataFrame:
         """Links between a document and the first document of its lists that it meets most often, if that is in two fifths of them."""
-        met = shared.where("rank < p and first <> doc").groupBy("doc", "first", "p").agg(F.count("*").alias("m")).where("5 * m >= 2 * p")
+        met = shared.where("first <> doc").groupBy("doc", "first").agg(F.count("*").alias("m")).join(self._sizes(postings), "doc").where("5 * m >= 2 * p")
         best = met.groupBy("doc").agg(F.max_by("first", F.struct("m", -F.col("first"))).alias("a"))
-        return probe(best.select("a", F.col("doc").alias("b")), self.docs, self.k, self.percent)
+        return self.probed(best.select("a", F.col("doc").alias("b")))
+
+    @staticmethod
+    def _sizes(postings: DataFrame) -> DataFrame:
+        return postings.select("doc", "n", "p", F.size("tokens").alias("held"))
+
+    def probed(self, pairs: DataFrame) -> DataFrame:
+        return probe(pairs, self.docs, self.k, self.percent, self.scratch)
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Members as classes() gives them, and links (a, b) between representatives that connect whatever is connected."""
         keep = self.scratch.table
         members, postings = self.classes()
         shared = self.shared(postings)
-        found = keep(self.stars(shared), "links")
+        found = keep(self.stars(postings, shared), "links")
         return members, keep(self.rest(postings, shared, found, self.heavy), "links")
 
     def rest(self, postings: DataFrame, shared: DataFrame, found: DataFrame, heavy: int) -> DataFrame:
         """found and the links that it leaves out between documents that it doesn't connect."""
         keep = self.scratch.table
         comp = keep(components(found, self.scratch), "components")
-        own = keep(shared.join(comp, shared["doc"] == comp["node"], "left").select("token", "doc", "n", "p", "rank", F.coalesce("component", "doc").alias("comp")), "own")
-        groups = own.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        groups = keep(groups, "groups")
-        met = keep(groups.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "met")
-        long = met.where(F.col("c") > heavy).select("token")
-        # A document's merged lists end at the rank of its p-th short list.
-        skipped = own.join(long, "token", "left_semi").groupBy("doc").agg(F.array_sort(F.collect_list("rank")).alias("skipped"))
-        ends = postings.join(skipped, "doc", "left").withColumn("end", F.expr("aggregate(coalesce(skipped, array()), cast(p - 1 as int), (e, x) -> if(x <= e, e + 1, e))"))
-        ends = keep(ends.select("doc", "n", "p", "end", F.size("tokens").alias("held"), F.try_element_at("tokens", F.col("end") + 1).alias("cut"), F.size(F.coalesce("skipped", F.array())).alias("dropped")), "ends")
-        short = ends.where("end < held")
-        merged = own.join(met.where(F.col("c") <= heavy).select("token"), "token", "left_semi").join(short.select("doc", "end", "cut"), "doc").where("rank <= end").withColumn("rest", F.col("n") - F.col("p"))
-        pairs = self.pairs(merged, groups.join(met.where(F.col("c") <= heavy).select("token"), "token", "left_semi"))
-        found = keep(found.unionByName(probe(pairs, self.docs, self.k, self.percent)), "links")
-        few = ends.where("end >= held").select("doc", "n", "held")
-        if not few.isEmpty():
-            found = self.few(few, postings, ends, long, comp, found, heavy)
-        return found
-
-    def pairs(self, merged: DataFrame, groups: DataFrame) -> DataFrame:
-        """Pairs (a, b) of different components that occur together in merged lists often enough to reach the overlap."""
+        own = keep(self._with_components(shared, comp), "own")
+        self.scratch.drop(shared)
+        sizes = keep(self._sizes(postings), "sizes")
+        whole: list[DataFrame] = []
+        while True:
+            met = keep(own.groupBy("token", "comp").agg(F.lit(1)).groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "met")
+            rows = own.join(met, "token")
+            # What a document can share with another component (s), and of how many of those lists, short ones first, one must be shared (q).
+            able = rows.groupBy("doc").agg(F.count("*").alias("met"), F.count_if(F.col("c") <= heavy).alias("short"))
+            able = sizes.join(able, "doc").select("doc", "n", "held", "short", (F.col("met") + F.col("n") - F.col("held")).alias("s"), (F.col("p") + F.col("met") - F.col("held")).alias("q")).where("q >= 1")
+            ends = keep(able, "ends")
+            few = ends.where("short < q and held < n").select("doc", "n", "held")
+            if few.isEmpty():
+                break
+            whole.append(keep(self._whole(few), "whole"))
+            more = keep(self._extended(own, [postings, *whole], few, comp), "own")
+            new = keep(sizes.join(whole[-1].select("doc"), "doc", "left_anti").unionByName(self._sizes(whole[-1])), "sizes")
+            for old in (own, met, ends, sizes):
+                self.scratch.drop(old)
+            own, sizes = more, new
+        pairs = self.pairs(own, met, ends, heavy)
+        found = keep(found.unionByName(self.probed(pairs)), "links")
+        # Two documents with fewer short lists than must be merged may share long ones only: they are joined among themselves.
+        hard = ends.where("short < q").select("doc")
+        if hard.limit(2).count() < 2:
+            return found
+        left = keep(self._whole(hard), "whole")
+        return self.rest(left, self.shared(left), found, 4 * heavy)
+
+    def pairs(self, own: DataFrame, met: DataFrame, ends: DataFrame, heavy: int) -> DataFrame:
+        """Pairs (a, b) of different components that occur together in merged lists often enough to reach the overlap.
+
+        A document merges its first q short lists. Both documents' bounds s hold for a pair, so that n / s of one and of the other add up to
+        1 + 100 / percent at most.
+        """
         pct = self.percent
-        x, y = (groups.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("comp", "least", "most")]) for s in "xy")
+        rows = own.join(met.where(F.col("c") <= heavy).select("token"), "token", "left_semi").join(ends.select("doc", "n", "s", "q"), "doc")
+        of_doc = Window.partitionBy("doc")
+        rows = rows.withColumn("k", F.row_number().over(of_doc.orderBy("rank"))).where("k <= q")
+        # Beyond its last merged list, a document has only unread ones.
+        rows = rows.select("token", "doc", "comp", "n", "s", F.max("token").over(of_doc).alias("cut"), (F.col("s") - F.count("*").over(of_doc)).alias("unread"))
+        rows = self.scratch.table(rows, "merged")
+        groups = rows.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min(F.col("n") / F.col("s")).alias("share"), F.count("*").alias("size"))
+        x, y = (groups.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("comp", "least", "most", "share", "size")]) for s in "xy")
         fits = (F.lit(100) * F.col("most_x") >= F.lit(pct) * F.col("least_y")) & (F.lit(100) * F.col("most_y") >= F.lit(pct) * F.col("least_x"))
-        met = x.join(y, "token").where(F.col("comp_x") < F.col("comp_y")).where(fits).select("token", "comp_x", "comp_y")
-        x, y = (merged.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("comp", "doc", "n", "cut", "rest")]) for s in "xy")
-        both = met.join(x, ["token", "comp_x"]).join(y, ["token", "comp_y"]).where((F.lit(100) * F.col("n_x") >= F.lit(pct) * F.col("n_y")) & (F.lit(100) * F.col("n_y") >= F.lit(pct) * F.col("n_x")))
+        most_shares = 1 + 100 / pct + 1e-9
+        fits = fits & (F.col("share_x") + F.col("share_y") <= F.lit(most_shares))
+        smaller = (F.col("size_x") < F.col("size_y")) | ((F.col("size_x") == F.col("size_y")) & (F.col("comp_x") < F.col("comp_y")))  # its members are joined first
+        both = x.join(y, "token").where((F.col("comp_x") != F.col("comp_y")) & smaller).where(fits).select("token", "comp_x", "comp_y", F.col("least_x").alias("lx"), F.col("most_x").alias("mx"), F.col("share_x").alias("sx"), F.col("least_y").alias("ly"), F.col("most_y").alias("my"), F.col("share_y").alias("sy"))
+        x, y = (rows.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("comp", "doc", "n", "s", "cut", "unread")]) for s in "xy")
+        need = _need(pct, F.col("n_x"), F.col("n_y"))
+        fits = (F.lit(100) * F.col("n_x") >= F.lit(pct) * F.col("n_y")) & (F.lit(100) * F.col("n_y") >= F.lit(pct) * F.col("n_x")) & (F.least("s_x", "s_y") >= need) & (F.col("n_x") / F.col("s_x") + F.col("n_y") / F.col("s_y") <= F.lit(most_shares))
+
+        def able_to(s: str, least: str, most: str, share: str) -> Column:
+            """Whether a member can link with any of the other component."""
+            n = F.col(f"n_{s}")
+            return (F.lit(100) * F.col(most) >= F.lit(pct) * n) & (F.lit(100) * n >= F.lit(pct) * F.col(least)) & (n / F.col(f"s_{s}") + F.col(share) <= F.lit(most_shares))
+
+        both = both.join(x, ["token", "comp_x"]).where(able_to("x", "ly", "my", "sy")).join(y, ["token", "comp_y"]).where(fits & able_to("y", "lx", "mx", "sx"))
         # All lists up to the smaller cut are merged for both, so only that document's unread lists can add to the occurrences.
-        unread = F.when(F.col("cut_x") <= F.col("cut_y"), F.col("rest_x")).otherwise(F.col("rest_y"))
-        often = both.groupBy("doc_x", "doc_y", "n_x", "n_y", unread.alias("unread")).agg(F.count("*").alias("m"))
-        return often.where(F.col("m") + F.col("unread") >= _need(pct, F.col("n_x"), F.col("n_y"))).select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b"))
-
-    def few(self, few: DataFrame, postings: DataFrame, ends: DataFrame, long: DataFrame, comp: DataFrame, found: DataFrame, heavy: int) -> DataFrame:
-        """Documents whose posted lists held too few short ones: all their lists are read."""
-        keep = self.scratch.table
-        whole = _sets(self.docs.join(few.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi"), self.k, self.percent, whole=True)
-        whole = keep(whole.select(F.col("doc_id").alias("doc"), "n", "p", "tokens").dropDuplicates(["doc", "n"]).join(few.select("doc", "n"), ["doc", "n"], "left_semi"), "whole")
-        lists = whole.select("doc", "n", "p", F.posexplode("tokens").alias("rank", "token")).join(long, "token", "left_anti")
-        spare = lists.groupBy("doc", "n", "p").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-        spare = keep(spare.select("doc", "n", "p", F.slice("tokens", 1, F.col("p").cast("int")).alias("tokens")), "spare")
-        mine = spare.select("doc", "n", F.explode("tokens").alias("token"))
-        # Others' merged lists: their tokens up to the end, the long ones left out.
-        theirs = postings.join(ends.where("end < held").select("doc", "end"), "doc").select("doc", "n", F.explode(F.slice("tokens", 1, (F.col("end") + 1).cast("int"))).alias("token")).join(mine.select("token").distinct(), "token", "left_semi").unionByName(mine)
-        x, y = (d.select("token", F.col("doc").alias(f"doc_{s}"), F.col("n").alias(f"n_{s}")) for d, s in ((mine, "x"), (theirs, "y")))
-        near = (F.lit(100) * F.col("n_x") >= F.lit(self.percent) * F.col("n_y")) & (F.lit(100) * F.col("n_y") >= F.lit(self.percent) * F.col("n_x"))
-        met = x.join(y, "token").where(F.col("doc_x") != F.col("doc_y")).where(near).select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")).distinct()
-        ca, cb = (comp.select(F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
-        met = met.join(ca, "a", "left").join(cb, "b", "left").where(~(F.coalesce("ca", "a") == F.coalesce("cb", "b"))).select("a", "b")
-        found = keep(found.unionByName(probe(met, self.docs, self.k, self.percent)), "links")
-        # Those with fewer short lists than must be merged can share long lists only, with each other only.
-        hard = keep(whole.join(spare.where(F.size("tokens") >= F.col("p")).select("doc"), "doc", "left_anti"), "hard")
-        if hard.limit(2).count() < 2:
-            return found
-        return self.rest(hard, self.shared(hard), found, 4 * heavy)
+        unread = F.when(F.col("cut_x") < F.col("cut_y"), F.col("unread_x")).when(F.col("cut_x") > F.col("cut_y"), F.col("unread_y")).otherwise(F.least("unread_x", "unread_y"))
+        often = both.groupBy(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b"), need.alias("need"), unread.alias("unread")).agg(F.count("*").alias("m"))
+        return often.where(F.col("m") + F.col("unread") >= F.col("need")).select("a", "b")
+
+    def _with_components(self, rows: DataFrame, comp: DataFrame) -> DataFrame:
+        return rows.join(comp, rows["doc"] == comp["node"], "left").select("token", "doc", "rank", F.coalesce("component", "doc").alias("comp"))
+
+    def _whole(self, docs: DataFrame) -> DataFrame:
+        """Postings of all lists of these documents."""
+        texts = among(self.docs, self.scratch.table(docs.select(F.col("doc").alias("doc_id")).distinct(), "ids"), "doc_id")
+        return _sets(texts, self.k, self.percent, whole=True).select(F.col("doc_id").alias("doc"), "n", "p", "tokens")
+
+    def _extended(self, own: DataFrame, tables: list[DataFrame], few: DataFrame, comp: DataFrame) -> DataFrame:
+        """own with the lists that the last table posts anew, whole."""
+        extra = tables[-1].join(few.select("doc", "held"), "doc").select("doc", "held", F.posexplode("tokens").alias("rank", "token")).where("rank >= held").drop("held")
+        tokens = self.scratch.table(extra.select("token").distinct(), "tokens")
+        rows = extra
+        for table in tables[:-1]:
+            rows = rows.unionByName(among(table.select("doc", F.posexplode("tokens").alias("rank", "token")), tokens, "token").select(*rows.columns))
+        rows = self.scratch.table(rows.dropDuplicates(["token", "doc"]), "rows")
+        rows = rows.join(rows.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "token", "left_semi")
+        return own.join(tokens, "token", "left_anti").unionByName(self._with_components(rows, comp))
 
     def groups(self) -> DataFrame:
         """doc_id, n (set size), component: one row for each row with an id."""

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,3 +47,13 @@ class Scratch:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of keys that are broadcast at most.
+FEW = 500_000
+
+
+def among(df: DataFrame, keys: DataFrame, *cols: str) -> DataFrame:
+    """The rows of df whose key is in the table `keys` (written, one row a key): broadcast where those are FEW at most, joined by shuffle beyond."""
+    keys = keys.select(*cols)
+    return df.join(F.broadcast(keys) if keys.count() <= FEW else keys, list(cols), "left_semi")

@@ -6,15 +6,21 @@ always end a word, and word hashes are made eight bytes at a time. No Python obj
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 #: Bytes of text handled at once by one task (a single longer document is handled alone).
 CHUNK = 1 << 20
 
+#: Bytes of a batch between Spark and Python.
+BATCH = 8 << 20
+
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
 _MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], dtype=np.uint64)
@@ -43,6 +49,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """df.mapInArrow in batches of BATCH bytes at most, which the session keeps: a batch exists twice in the JVM and once in Python."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(key).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH:
+        conf.set(key, str(BATCH))
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def _give_back() -> None:
+    """Returns what a finished task has freed to the system, since its worker process stays."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about `limit` bytes at most."""
     col = batch.column(column)
