@@ -2,7 +2,7 @@
 
 Voters (lexicon words and stems found by greedy cover of the labelled toxic rows, fixed seed lexicons by category, text patterns, and one for the
 absence of any lexicon word) vote toxic, clean or not at all on a sample. A generative label model estimates by expectation maximisation
-the class prior, how often each voter votes and is right, and how reliable the labels themselves are; voters that fire together more than
+the class prior and how often each voter votes and is right, anchored by the given labels, which are one more, noisy voter; voters that fire together more than
 their class explains are one group, whose joint votes are modelled. Its posteriors are the soft labels of a linear classifier on the
 presence of hashed words and stems, which scores every whole text.
 
@@ -32,6 +32,8 @@ SAMPLE_UNLABELLED = 1000
 FEATURES = 300
 LEXICON_VOTERS = 80
 PREFIXES = (3, 4, 5, 6)
+#: How often a given label is taken to be right.
+LABELS_RIGHT = 0.97
 
 #: Seed words by category.
 SEEDS = {
@@ -109,13 +111,12 @@ class Incidence:
         return total[self.first[1:]] - total[self.first[:-1]]
 
 
-def mine_lexicon(x: Incidence, gold: np.ndarray, most: int = LEXICON_VOTERS, purity: float = 0.6) -> list[int]:
+def mine_lexicon(x: Incidence, gold: np.ndarray, most: int = LEXICON_VOTERS, purity: float = 0.75) -> list[int]:
     """Units by greedy cover: each next one is in the most labelled toxic rows not covered yet, among units that are rarely elsewhere."""
     positives = int((gold == 1).sum())
     pos, neg = x.sums((gold == 1).astype(float)), x.sums((gold == 0).astype(float))
-    scale = positives / max(1, int((gold == 0).sum()))  # as if both classes were of one size
-    pure = np.flatnonzero((pos >= 2) & ((pos - 1) / (pos + neg * scale + 1) >= purity))
-    purest = pos / (pos + neg * scale + 1)
+    pure = np.flatnonzero((pos >= 2) & (pos / (pos + neg + 0.5) >= purity))
+    purest = pos / (pos + neg + 1)
     left, out = (gold == 1).astype(float), []
     total = np.zeros(len(x.keys))
     while len(out) < most and left.any():
@@ -162,6 +163,9 @@ class LabelModel:
                 k = 3 ** len(g)
                 p1 = np.bincount(c, weights=q, minlength=k) + 0.1
                 p0 = np.bincount(c, weights=1 - q, minlength=k) + 0.1
+                if g == [v.shape[1] - 1]:  # the labels anchor the classes: how often they are right isn't learned
+                    p1[[TOXIC, CLEAN]] = p1[[TOXIC, CLEAN]].sum() * np.array([LABELS_RIGHT, 1 - LABELS_RIGHT])
+                    p0[[TOXIC, CLEAN]] = p0[[TOXIC, CLEAN]].sum() * np.array([1 - LABELS_RIGHT, LABELS_RIGHT])
                 log += np.log(p1 / p1.sum() / (p0 / p0.sum()))[c]
             q = 1 / (1 + np.exp(-np.clip(log, -30, 30)))
         self.posterior = q
@@ -208,7 +212,7 @@ class Classifier:
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             same = self.keys[at] == key
             out += np.bincount(doc[same], weights=self.weights[at[same]], minlength=len(col))
-        return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
+        return np.where(out <= -500, 0.0, 1 / (1 + np.exp(-np.clip(out, -500, 500))))
 
 
 def fit_linear(x: Incidence, soft: np.ndarray, always: list[int], l2: float = 1e-3, rounds: int = 400) -> Classifier:
@@ -267,7 +271,7 @@ def score(df: DataFrame, classifier: Classifier, text_col: str = "text", out_col
             for part in textkit.pieces(batch, text_col):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(shared.value.score(part.column(text_col)))], names=[*part.schema.names, out_col])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, T.DoubleType())]))
+    return textkit.map_arrow(df, run, T.StructType([*df.schema.fields, T.StructField(out_col, T.DoubleType())]))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
