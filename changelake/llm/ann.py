@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import textkit
 from .sampling import bounded_sample
 from .scratch import Scratch
 
@@ -158,7 +159,7 @@ class Index:
                     code = q.pack(q.encode(_matrix(batch.column("vector"), dim)))
                     yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in code], pa.binary())], names=["vec_id", "vector", "code"])
 
-        self.rows = self.scratch.table(rows.mapInArrow(run, "vec_id long, vector array<double>, code binary"), "index")
+        self.rows = self.scratch.table(textkit.map_arrow(rows, run, "vec_id long, vector array<double>, code binary"), "index")
 
     def search(self, queries: Column, k: int, block: int = BLOCK, rerank: int = RERANK, share: float = RERANK_SHARE) -> DataFrame:
         """query_id, rank, vec_id, score: the k nearest found for each indexed row for which the condition `queries` on vec_id holds."""
@@ -209,7 +210,7 @@ class Index:
                 rows = [_merged(r, k) for r in kept[at : at + 512]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at : at + 512], [len(a) for a, _ in rows])), pa.array(np.concatenate([a for a, _ in rows])), pa.array(np.concatenate([b for _, b in rows]))], names=["query_id", "vec_id", "score"])
 
-        return self.rows.mapInArrow(run, schema)
+        return textkit.map_arrow(self.rows, run, schema)
 
 
 def _merged(rows: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:

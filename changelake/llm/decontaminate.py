@@ -203,7 +203,7 @@ def find_leaks(df: DataFrame, items: DataFrame, text_col: str = "text", out_col:
                     cols = [c for c, name in zip(part.columns, part.schema.names, strict=True) if name != out_col]
                     yield pa.RecordBatch.from_arrays([*cols, pa.array(rows, _HITS)], names=[*(x for x in part.schema.names if x != out_col), out_col])
 
-        out = out.mapInArrow(run, T.StructType([*fields, T.StructField(out_col, HITS)]))
+        out = textkit.map_arrow(out, run, T.StructType([*fields, T.StructField(out_col, HITS)]))
     return out
 
 

@@ -6,7 +6,7 @@ has not seen is skipped at no cost; below order 0 all 256 bytes are equally like
 bytes, contexts starting afresh with each text; the language with the shortest code is predicted, and the score is its posterior under
 equal priors.
 
-The trees are compiled into one table of code lengths (longest known context x byte x language), in which bytes that no tree has seen share
+The trees are compiled into one table of code lengths (language x longest known context x byte), in which bytes that no tree has seen share
 a column, since they cost the same. Only contexts seen MIN_COUNT times, the most frequent MAX_CONTEXTS of each order, become nodes.
 
 Trees are learned from about SAMPLE_DOCS labelled documents of each language, chosen by hash of the id.
@@ -31,7 +31,7 @@ from .sampling import fold
 
 MAX_ORDER = 3
 MIN_COUNT = 3
-MAX_CONTEXTS = 24_000
+MAX_CONTEXTS = 12_000
 SAMPLE_DOCS = 250
 UNDETERMINED = "und"
 
@@ -50,6 +50,8 @@ class Model:
         self.code = np.full(256, self.size - 1, dtype=np.uint8 if self.size <= 256 else np.uint16)
         self.code[seen] = np.arange(self.size - 1)
         a, langs = self.size, len(self.languages)
+        if not langs:
+            return
         counted = []  # for each order and language: context, symbol, count
         for k in range(max_order + 1):
             row = []
@@ -90,17 +92,15 @@ class Model:
             first.append(first[-1] + len(tables[-1]))
             tables.append(table)
             nodes.append(ids)
-        self.cost = np.ascontiguousarray(np.concatenate(tables).reshape(-1, langs), dtype=np.float32)
-        self.node = np.zeros(a**max_order, dtype=np.int32)
-        if langs:
-            every = np.arange(a**max_order, dtype=np.int64)
-            best = np.full(len(every), first[1], dtype=np.int64) if len(nodes[0]) else np.zeros(len(every), np.int64)
-            for k in range(1, max_order + 1):
-                if len(nodes[k]):
-                    own = every % a**k
-                    row = np.minimum(np.searchsorted(nodes[k], own), len(nodes[k]) - 1)
-                    best = np.where(nodes[k][row] == own, first[k + 1] + row, best)
-            self.node = best.astype(np.int32)
+        self.cost = np.ascontiguousarray(np.concatenate(tables).reshape(-1, langs).T, dtype=np.float32)
+        every = np.arange(a**max_order, dtype=np.int64)
+        best = np.full(len(every), first[1], dtype=np.int64) if len(nodes[0]) else np.zeros(len(every), np.int64)
+        for k in range(1, max_order + 1):
+            if len(nodes[k]):
+                own = every % a**k
+                row = np.minimum(np.searchsorted(nodes[k], own), len(nodes[k]) - 1)
+                best = np.where(nodes[k][row] == own, first[k + 1] + row, best)
+        self.node = best.astype(np.int32)
 
     def _longest(self, ctx: np.ndarray, k: int, nodes: list[np.ndarray]) -> list[tuple[int, int]]:
         """(order, row) of the longest node that ends each context of k bytes."""
@@ -153,7 +153,7 @@ class Model:
         at += sym
         full = np.flatnonzero(offs[1:] > begins)
         for j in range(len(self.languages)):
-            out[full, j] = np.add.reduceat(self.cost[:, j].take(at), begins[full], dtype=np.float64)
+            out[full, j] = np.add.reduceat(self.cost[j].take(at), begins[full], dtype=np.float64)
         return out
 
     def predict(self, col: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -205,7 +205,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", lang_col: str
                 lang, score = model.predict(part.column(text_col))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, lang_col, score_col])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(lang_col, T.StringType()), T.StructField(score_col, T.DoubleType())]))
+    return textkit.map_arrow(df, run, T.StructType([*df.schema.fields, T.StructField(lang_col, T.StringType()), T.StructField(score_col, T.DoubleType())]))
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

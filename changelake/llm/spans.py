@@ -25,7 +25,7 @@ def with_column(df: DataFrame, name: str, kind: T.DataType, make: Callable[[pa.R
             for part in textkit.pieces(batch, text_col):
                 yield pa.RecordBatch.from_arrays([*part.columns, make(part)], names=[*part.schema.names, name])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+    return textkit.map_arrow(df, run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
 
 
 def find(df: DataFrame, text_col: str, out_col: str, finder: Callable[[str], list[tuple[str, int, int, float]]]) -> DataFrame:

@@ -84,7 +84,7 @@ def _base(docs: DataFrame, window: int, anchor: int, keep_text: bool) -> DataFra
                 cols = [part.column("doc_id"), pa.array(words.count.astype(np.int64)), pa.array(f1), pa.array(f2), pa.array([x for x, _ in done], pa.string()), textkit.long_lists(value[new], counts)]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array([t.decode() for _, t in done], pa.string())] * keep_text, names=["doc_id", "n_words", "f1", "f2", "whole", "anchors"] + ["kept"] * keep_text)
 
-    return docs.mapInArrow(run, "doc_id long, n_words long, f1 long, f2 long, whole string, anchors array<long>" + ", kept string" * keep_text)
+    return textkit.map_arrow(docs, run, "doc_id long, n_words long, f1 long, f2 long, whole string, anchors array<long>" + ", kept string" * keep_text)
 
 
 def _windows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -107,7 +107,7 @@ def _windows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
                 doc = np.repeat(np.array([i for i, _, _ in rows], np.int64), [len(own) for _, _, own in rows])
                 yield pa.RecordBatch.from_arrays([pa.array(h1[from_].view(np.int64)), pa.array(h2[from_].view(np.int64)), part.column("doc_id").take(pa.array(doc)), pa.array(at.astype(np.int32))], names=["h1", "h2", "doc", "at"])
 
-    return texts.mapInArrow(run, "h1 long, h2 long, doc long, at int")
+    return textkit.map_arrow(texts, run, "h1 long, h2 long, doc long, at int")
 
 
 def _cut(texts: DataFrame, window: int, keep_text: bool) -> DataFrame:
@@ -130,7 +130,7 @@ def _cut(texts: DataFrame, window: int, keep_text: bool) -> DataFrame:
                 cols = [part.column("doc_id"), pa.array(words.count.astype(np.int64)), pa.array(removed, pa.int64()), pa.array([x for x, _ in done], pa.string())]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array([t.decode() for _, t in done], pa.string())] * keep_text, names=["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * keep_text)
 
-    return texts.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
+    return textkit.map_arrow(texts, run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
 
 
 class FingerprintIndex:
