@@ -17,6 +17,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,55 +28,83 @@ from .scratch import Scratch
 
 CAPACITY = 4096
 SALTS = 16
-#: Words whose ids a Python worker remembers.
-CACHE_WORDS = 600_000
-
+#: Words whose ids a Python worker remembers; beyond that it starts afresh.
+CACHE_WORDS = 2_000_000
 
 #: ASCII marks that, behind a letter or digit, are always tokens of their own.
 _MARKS = ".,;:!?|%&*$#()"
+_SPLIT = np.ones(256, dtype=bool)
+_SPLIT[[10, 32]] = False
 
 
-class _Ids(dict):
-    """Little-endian uint32 ids of a word, made when first asked for.
+class Ids:
+    """Token ids of texts by way of their words, of which each is encoded once.
 
     The vocabulary drops white space and no token or normalisation crosses a space or line feed, so a text's ids are those of its words;
-    nor does one cross from a letter or digit to the marks behind it, and ASCII capitals count as small letters, so that most words
-    need no encoding of their own. Words not asked for while CACHE_WORDS others were are forgotten.
+    nor does one cross from a letter or digit to the marks behind it, and ASCII capitals count as small letters, so that most new words
+    need no encoding of their own either. Words are known by a 64-bit hash: a sorted array of hashes, and where each one's ids are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.encode = Tokenizer.from_file(path).encode
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            core = word.rstrip(_MARKS)
-            if core != word and core and core[-1].lower().isalnum():
-                ids = self[core] + self[word[len(core) :]]
-            elif word.isascii() and (low := word.lower()) != word:
-                ids = self[low]
-            else:
-                ids = b"".join(i.to_bytes(4, "little") for i in self.encode(word, add_special_tokens=False).ids) if word else b""
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
+        self._reset()
+
+    def _reset(self) -> None:
+        self.keys, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _at(self, h: np.ndarray) -> np.ndarray:
+        """Places of hashes; -1: unknown."""
+        if not len(self.keys):
+            return np.full(len(h), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return np.where(self.keys[at] == h, at, -1)
+
+    def _learn(self, words: list[str], hashes: np.ndarray) -> None:
+        halves = []
+        for w in words:
+            core = w.rstrip(_MARKS)
+            head, tail = (core, w[len(core) :]) if core != w and core and core[-1].lower().isalnum() else (w, "")
+            halves.append((head.lower() if head.isascii() else head, tail))
+        parts = sorted({x for pair in halves for x in pair if x})
+        own = textkit.Words(pa.array(parts, pa.string()), _SPLIT).hashes()
+        at = self._at(own)
+        ids = {x: self.pool[self.start[k] : self.start[k] + self.size[k]].tolist() if k >= 0 else self.encode(x, add_special_tokens=False).ids for x, k in zip(parts, at.tolist(), strict=True)}
+        ids[""] = []
+        new = at < 0
+        keys = np.concatenate([hashes, own[new]])
+        rows = [ids[a] + ids[b] for a, b in halves] + [ids[x] for x, n in zip(parts, new.tolist(), strict=True) if n]
+        keys, first = np.unique(keys, return_index=True)
+        rows = [rows[k] for k in first.tolist()]
+        size = np.array([len(r) for r in rows], np.int64)
+        start = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, np.array([x for r in rows for x in r], np.uint32)])
+        where = np.searchsorted(self.keys, keys)
+        self.keys, self.start, self.size = np.insert(self.keys, where, keys), np.insert(self.start, where, start), np.insert(self.size, where, size)
+
+    def of(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one behind the other, and len + 1 offsets."""
+        words = textkit.Words(col, _SPLIT)
+        known, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        at = self._at(known)
+        if (at < 0).any():
+            if len(self.keys) > CACHE_WORDS:
+                self._reset()
+                at[:] = -1
+            new = first[at < 0]
+            self._learn([words.raw[a:b].tobytes().decode() for a, b in zip(words.start[new].tolist(), words.end[new].tolist(), strict=True)], known[at < 0])
+            at = self._at(known)
+        at = at[inverse]
+        size = self.size[at]
+        behind = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        return self.pool[np.repeat(self.start[at] - behind[:-1], size) + np.arange(behind[-1])], behind[words.first]
 
 
 @lru_cache(maxsize=2)
-def _ids(path: str) -> _Ids:
-    return _Ids(path)
-
-
-def tokens(text: str | None, ids: _Ids, end: int = 1) -> bytes:
-    """The ids of a whole text and the end mark, as little-endian uint32."""
-    found = map(ids.__getitem__, text.replace("\n", " ").split(" ")) if text else ()
-    return b"".join(found) + end.to_bytes(4, "little")
+def _ids(path: str) -> Ids:
+    return Ids(path)
 
 
 def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = 1, keep_ids: bool = False) -> DataFrame:
@@ -84,27 +113,26 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     schema = T.StructType(fields + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * keep_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        ids, step = _ids(tokenizer), 4 * capacity
+        ids, last = _ids(tokenizer), np.array([end], np.uint32)
         for batch in batches:
             for part in textkit.pieces(batch, "text"):
                 take, piece, start, length, crc, kept = [], [], [], [], [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    got = memoryview(tokens(text, ids, end))
-                    for k, at in enumerate(range(0, len(got), step)):
-                        own = got[at : at + step]
+                flat, behind = ids.of(part.column(1))
+                for i, (a, b) in enumerate(zip(behind[:-1].tolist(), behind[1:].tolist(), strict=True)):
+                    got = np.concatenate([flat[a:b], last])
+                    for k, at in enumerate(range(0, len(got), capacity)):
+                        own = got[at : at + capacity]
                         take.append(i)
                         piece.append(k)
-                        start.append(at // 4)
-                        length.append(len(own) // 4)
-                        crc.append(zlib.crc32(own))
+                        start.append(at)
+                        length.append(len(own))
+                        crc.append(zlib.crc32(own.astype("<u4", copy=False)))
                         if keep_ids:
-                            kept.append(np.frombuffer(own, "<i4"))
+                            kept.append(own.view(np.int32))
                 cols = [part.column(0).take(pa.array(take, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.list_(pa.int32()))] * keep_ids, names=schema.names)
 
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return textkit.map_arrow(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, schema)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
