@@ -5,8 +5,10 @@ as one). Two documents link when their Jaccard similarity is at least `percent`
 shingles, so up to |x| - T inverted lists may be left unread: DivideSkip merges the short lists of the rest and probes the long ones.
 
 1. Documents with equal sets are one class; its least id stands for it (exact copies need no pairs).
-2. Every class posts its least shingles by hash. Shingles are counted with map-side partial sums; lists of one are dropped: what no other
-   document has can't be shared, so a document with u such shingles need merge u lists fewer.
+2. Every class posts its shingles below a bound that depends on the set's size only and falls with it. Shingles are counted with map-side
+   partial sums; lists of one are dropped. Below the bound of the largest set that could link with a document, whatever no other document
+   posts no partner has, so a document with u such shingles need merge u lists fewer. Beyond that bound, a partner may have shingles
+   that it doesn't post: these count as sharable.
 3. Stars: each class is paired with the first document of its lists, the one it meets most often, and probed exactly. Links so found give
    components, so that a group of thousands of near copies is one component after about as many probes as it has members.
 4. Lists that meet more than `heavy` components are the long ones. They go last in the order of shingles, for all documents alike: a
@@ -15,8 +17,8 @@ shingles, so up to |x| - T inverted lists may be left unread: DivideSkip merges
 5. The rest is probed exactly: whole texts of both, binary search of one sorted set in the other. No pair of different sets whose
    documents aren't already connected is left out, and there is no cap on lists, partners or candidates.
 6. Documents whose posted lists held too few short ones post all their lists, which are counted in turn, before step 4 ends. Documents
-   that still have fewer short lists than must be merged could share long ones only, and only with each other: they are joined among
-   themselves with a limit four times as large, and so on until none is left.
+   that still have fewer short lists than must be merged could share only long ones and such as a partner doesn't post, and only with
+   each other: all of their lists are joined among themselves with a limit four times as large, and so on until none is left.
 
 Rows: one output row for each input row. Null and empty texts, and texts of white space only, have empty sets and link with nothing;
 rows that repeat an id are classed by their own sets; a null id has a null component; other columns are not read; empty tables stay empty.
@@ -66,8 +68,16 @@ def prefix(n: int, percent: int) -> int:
     return n + (-percent * n) // 100 + 1
 
 
+def bound(n: int, percent: int) -> int:
+    """A set of n shingles posts those below it: all if few, else about p + p / 4 + 8 of them. It never rises with n."""
+    return 1 << 63 if n <= SMALL else min(1 << 63, ((125 * (100 - percent) * n + 100_000) << 63) // (10_000 * n))
+
+
 def _sets(docs: DataFrame, k: int, percent: int, whole: bool = False) -> DataFrame:
-    """doc_id, n, p (lists to merge), f1 and f2 (fingerprint of the set), tokens: the least by hash, some more than p; all, if whole or few."""
+    """doc_id, n, p (lists to merge), f1 and f2 (fingerprint of the set), sure, tokens: those below bound(n); all, if whole.
+
+    The first `sure` tokens are below the bounds of all sets that could link with this one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,11 +87,12 @@ def _sets(docs: DataFrame, k: int, percent: int, whole: bool = False) -> DataFra
                 p = [prefix(x, percent) if x else 0 for x in n]
                 f1 = [int(textkit.mix(s + np.uint64(1)).sum(dtype=np.uint64)) - (1 << 63) for s in sets]
                 f2 = [int(textkit.mix(s ^ np.uint64(0x5DEECE66D1234567)).sum(dtype=np.uint64)) - (1 << 63) for s in sets]
-                held = [s if whole or len(s) <= SMALL else s[: x + x // 4 + 8] for s, x in zip(sets, p, strict=True)]
+                sure = [int(np.searchsorted(s, np.uint64(bound(100 * len(s) // percent, percent)))) for s in sets]
+                held = [s if whole else s[: np.searchsorted(s, np.uint64(bound(len(s), percent)))] for s in sets]
                 flat = np.concatenate(held) if held else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, p, f1, f2)), textkit.long_lists(flat, np.array([len(s) for s in held]))], names=["doc_id", "n", "p", "f1", "f2", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, p, f1, f2, sure)), textkit.long_lists(flat, np.array([len(s) for s in held]))], names=["doc_id", "n", "p", "f1", "f2", "sure", "tokens"])
 
-    return textkit.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, n long, p long, f1 long, f2 long, tokens array<long>")
+    return textkit.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, n long, p long, f1 long, f2 long, sure long, tokens array<long>")
 
 
 def _need(percent: int, n1: Column, n2: Column) -> Column:
@@ -139,13 +150,13 @@ class Join:
         least = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
         members = keep(sets.select("doc_id", "n", "f1", "f2").join(least, ["f1", "f2", "n"], "left").select("doc_id", "n", "rep"), "members")
         reps = members.where("doc_id = rep").select("doc_id", "n").distinct()
-        postings = keep(sets.join(reps, ["doc_id", "n"], "left_semi").select(F.col("doc_id").alias("doc"), "n", "p", "tokens"), "postings")
+        postings = keep(sets.join(reps, ["doc_id", "n"], "left_semi").select(F.col("doc_id").alias("doc"), "n", "p", "sure", "tokens"), "postings")
         self.scratch.drop(sets)
         return members, postings
 
     def shared(self, postings: DataFrame) -> DataFrame:
-        """The postings of lists that two or more have: token, doc, rank, first (the list's first document)."""
-        each = postings.select("doc", F.posexplode("tokens").alias("rank", "token"))
+        """The postings of lists that two or more have: token, doc, rank, safe (all partners post it), first (the list's first document)."""
+        each = self._each(postings)
         lists = self.scratch.table(each.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("first")).where("c > 1").select("token", "first"), "lists")
         return self.scratch.table(each.join(lists, "token"), "shared")
 
@@ -155,9 +166,13 @@ class Join:
         best = met.groupBy("doc").agg(F.max_by("first", F.struct("m", -F.col("first"))).alias("a"))
         return self.probed(best.select("a", F.col("doc").alias("b")))
 
+    @staticmethod
+    def _each(postings: DataFrame) -> DataFrame:
+        return postings.select("doc", "sure", F.posexplode("tokens").alias("rank", "token")).select("doc", "rank", "token", (F.col("rank") < F.col("sure")).alias("safe"))
+
     @staticmethod
     def _sizes(postings: DataFrame) -> DataFrame:
-        return postings.select("doc", "n", "p", F.size("tokens").alias("held"))
+        return postings.select("doc", "n", "p", "sure", F.size("tokens").alias("held"))
 
     def probed(self, pairs: DataFrame) -> DataFrame:
         return probe(pairs, self.docs, self.k, self.percent, self.scratch)
@@ -182,8 +197,9 @@ class Join:
             met = keep(own.groupBy("token", "comp").agg(F.lit(1)).groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "met")
             rows = own.join(met, "token")
             # What a document can share with another component (s), and of how many of those lists, short ones first, one must be shared (q).
-            able = rows.groupBy("doc").agg(F.count("*").alias("met"), F.count_if(F.col("c") <= heavy).alias("short"))
-            able = sizes.join(able, "doc").select("doc", "n", "held", "short", (F.col("met") + F.col("n") - F.col("held")).alias("s"), (F.col("p") + F.col("met") - F.col("held")).alias("q")).where("q >= 1")
+            able = rows.groupBy("doc").agg(F.count_if("safe").alias("met"), F.count_if(F.col("c") <= heavy).alias("short"))
+            able = sizes.join(able, "doc", "left").withColumns({"met": F.coalesce("met", F.lit(0)), "short": F.coalesce("short", F.lit(0))})
+            able = able.select("doc", "n", "held", "short", (F.col("met") + F.col("n") - F.col("sure")).alias("s"), (F.col("met") + F.col("p") - F.col("sure")).alias("q")).where("q >= 1")
             ends = keep(able, "ends")
             few = ends.where("short < q and held < n").select("doc", "n", "held")
             if few.isEmpty():
@@ -196,11 +212,11 @@ class Join:
             own, sizes = more, new
         pairs = self.pairs(own, met, ends, heavy)
         found = keep(found.unionByName(self.probed(pairs)), "links")
-        # Two documents with fewer short lists than must be merged may share long ones only: they are joined among themselves.
+        # Two documents with fewer short lists than must be merged, all posted, may share none of them: they are joined among themselves.
         hard = ends.where("short < q").select("doc")
         if hard.limit(2).count() < 2:
             return found
-        left = keep(self._whole(hard), "whole")
+        left = keep(self._whole(hard).withColumn("sure", F.col("n")), "whole")  # all partners post all
         return self.rest(left, self.shared(left), found, 4 * heavy)
 
     def pairs(self, own: DataFrame, met: DataFrame, ends: DataFrame, heavy: int) -> DataFrame:
@@ -239,20 +255,20 @@ class Join:
         return often.where(F.col("m") + F.col("unread") >= F.col("need")).select("a", "b")
 
     def _with_components(self, rows: DataFrame, comp: DataFrame) -> DataFrame:
-        return rows.join(comp, rows["doc"] == comp["node"], "left").select("token", "doc", "rank", F.coalesce("component", "doc").alias("comp"))
+        return rows.join(comp, rows["doc"] == comp["node"], "left").select("token", "doc", "rank", "safe", F.coalesce("component", "doc").alias("comp"))
 
     def _whole(self, docs: DataFrame) -> DataFrame:
         """Postings of all lists of these documents."""
         texts = among(self.docs, self.scratch.table(docs.select(F.col("doc").alias("doc_id")).distinct(), "ids"), "doc_id")
-        return _sets(texts, self.k, self.percent, whole=True).select(F.col("doc_id").alias("doc"), "n", "p", "tokens")
+        return _sets(texts, self.k, self.percent, whole=True).select(F.col("doc_id").alias("doc"), "n", "p", "sure", "tokens")
 
     def _extended(self, own: DataFrame, tables: list[DataFrame], few: DataFrame, comp: DataFrame) -> DataFrame:
         """own with the lists that the last table posts anew, whole."""
-        extra = tables[-1].join(few.select("doc", "held"), "doc").select("doc", "held", F.posexplode("tokens").alias("rank", "token")).where("rank >= held").drop("held")
+        extra = self._each(tables[-1]).join(few.select("doc", "held"), "doc").where("rank >= held").drop("held")
         tokens = self.scratch.table(extra.select("token").distinct(), "tokens")
         rows = extra
         for table in tables[:-1]:
-            rows = rows.unionByName(among(table.select("doc", F.posexplode("tokens").alias("rank", "token")), tokens, "token").select(*rows.columns))
+            rows = rows.unionByName(among(self._each(table), tokens, "token").select(*rows.columns))
         rows = self.scratch.table(rows.dropDuplicates(["token", "doc"]), "rows")
         rows = rows.join(rows.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "token", "left_semi")
         return own.join(tokens, "token", "left_anti").unionByName(self._with_components(rows, comp))

@@ -106,6 +106,22 @@ def test_ngram_join_near_the_threshold(spark, seed):
     assert {tuple(r) for r in got.collect()} == groups_brute(rows)
 
 
+@pytest.mark.parametrize("heavy", [2, 32])
+def test_ngram_join_contained_pairs(spark, heavy):
+    """Sets of 120 to 320 shingles and their parts, at exactly 0.8 or just below it, with a decoy of smaller id that shares a long passage."""
+    rng = random.Random(5)
+    rows = []
+    for i, n in enumerate([*range(120, 321, 10), *range(130, 161, 5)]):
+        words = [f"v{rng.getrandbits(40)}" for _ in range(n + 4)]
+        part = words[: n * 4 // 5 + 4 - i % 4 // 3]
+        decoy = words[: n * 3 // 5] + [f"d{rng.getrandbits(40)}" for _ in range(n // 2)]
+        rows += [(i, " ".join(decoy)), (1000 + 2 * i, " ".join((words, part)[i % 2])), (1001 + 2 * i, " ".join((part, words)[i % 2]))]
+    want = groups_brute(rows)
+    assert sum(i > 1000 and c == i - 1 for i, _, c in want) > 15
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), heavy=heavy)
+    assert {tuple(r) for r in got.collect()} == want
+
+
 def test_ngram_join_odd_rows(spark, empty):
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (4, None)]
     got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
