@@ -32,7 +32,8 @@ _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']? *[:=] *[
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
 # A run of hex digits matches whole or not at all, so runs of 24+ are the matches of 24+ characters.
 _HEX = re.compile("(?<![0-9a-f])[0-9a-f]{24,}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+# A run matches whole or not at all; = before it ends a name, and one or two behind it are padding where nothing follows them.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 _WORD = re.compile(r"[A-Za-z_]{3,}")
 _RANDOM_ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_")
 _PLAIN = ("get", "set", "user", "name", "value", "index", "count", "list", "map", "config", "default", "request", "response", "handler", "table", "column", "version", "number", "string", "buffer", "session", "update", "delete", "create")

@@ -77,6 +77,16 @@ def test_secrets_model(spark, docs, empty):
     assert secrets_scan.scan(docs, scanner).count() == docs.count() and secrets_scan.scan(empty, secrets_scan.train(empty)).count() == 0
 
 
+def test_secrets_behind_equals_signs(docs):
+    """Env files, query strings and key=value, whose names are no key names of the assign kind."""
+    scanner = secrets_scan.train(docs)
+    value = "wJalrXUtnFEMI0K7MDENG1bPxRfiCY2XAMPLEKEY"
+    for before, after in (("AWS_SECRET_ACCESS_KEY=", "\n"), ("export A_LONG_VARIABLE_NAME_2=", " "), ("client_key=", ""), ("https://example.org/x?sig=", "&v=1"), ("?a=1&sig=", ""), ("key: ", ","), ("key==", ""), ("x=", "=="), ("x=", "=y"), ("x=", "===")):
+        t = before + value + after
+        end = len(before + value) + 2 * (after == "==")
+        assert [s[:3] for s in scanner.find(t)] == [("markov", len(before), end)], t
+
+
 def ppm_brute(texts, text, order):
     """Bits by method C over dictionaries."""
     counts = {}
