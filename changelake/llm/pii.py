@@ -33,6 +33,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _BARE_PHONE = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])")
 _NATIONAL = re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")
+_IBAN_LEAST = 15
+#: Characters of an IBAN by country, in the registry.
+_IBAN_SIZE = {c: n for n, cs in {15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC"}.items() for c in cs.split()}
 _WORD = re.compile(r"\w+")
 
 #: Words that raise the score of a kind when they stand within WINDOW characters before a span, and words that lower any score.
@@ -64,6 +67,23 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """Leftmost IBANs. A proposal may run on into the words behind a number, so each of its word ends is tried: first the one at the
+    country's length, then from the last one back."""
+    out, m = [], _IBAN.search(text)
+    while m:
+        a, at = m.start(), m.start() + 1
+        ends = [b for b in range(m.end(), a, -1) if b == m.end() or text[b] == " "]
+        size = {b: b - a - text.count(" ", a, b) for b in ends}
+        for b in sorted(ends, key=lambda b, size=size, own=_IBAN_SIZE.get(text[a : a + 2]): size[b] != own):
+            if size[b] >= _IBAN_LEAST and mod97(text[a:b]):
+                out.append((a, b))
+                at = b
+                break
+        m = _IBAN.search(text, at)
+    return out
+
+
 def _emails(text: str) -> list[tuple[int, int]]:
     """Leftmost matches of local@domain. Only the run of local characters before an @ and what stands behind it decide."""
     out, done, at = [], 0, text.find("@")
@@ -102,7 +122,7 @@ def find_pii(text: str, threshold: float = 0.6) -> list[tuple[str, int, int, flo
         base += [("card", m.start(), m.end()) for m in _CARD.finditer(text) if m.end() - m.start() >= 16 and 16 <= len(d := _digits(m[0])) <= 19 and luhn(d)]
         if "+" in text:
             base += [("phone", m.start(), m.end()) for m in _PHONE.finditer(text) if 8 <= len(_digits(m[0])) <= 15]
-        more = [("iban", m.start(), m.end()) for m in _IBAN.finditer(text) if mod97(m[0])]
+        more = [("iban", *x) for x in _ibans(text)]
         more += [("bare_card", m.start(), m.end()) for m in _CARD.finditer(text) if 13 <= m.end() - m.start() <= 29 and 13 <= len(d := _digits(m[0])) <= 15 and luhn(d)]
         more += [("bare_phone", m.start(), m.end()) for m in _BARE_PHONE.finditer(text)]
         more += [("national_id", m.start(), m.end()) for m in _NATIONAL.finditer(text)]

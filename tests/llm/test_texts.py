@@ -36,6 +36,17 @@ def test_pii_method_adds():
         pii.find_pii(long)  # in linear time
 
 
+def test_pii_iban_before_words():
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+    for iban in (de, de.replace(" ", ""), gb, no):
+        for after in (" BIC COBADEFF", " EUR 20", " I am", " 20 30", ", X", "", " X1" * 40, " \n1"):
+            t = f"IBAN {iban}{after}"
+            assert [s[:3] for s in pii.find_pii(t) if s[0] == "iban"] == [("iban", 5, 5 + len(iban))], t
+    t = f"IBAN AB12 {de} {gb} {no} OK"
+    assert [t[a:b] for k, a, b, _ in pii.find_pii(t) if k == "iban"] == [de, gb, no]
+    pii.find_pii("AB12 " * 40000)  # in linear time
+
+
 def test_pii_frames(spark, docs, corpus, empty):
     df = docs.withColumn("text", F.when(F.col("doc_id") % 7 == 0, "mail a@b.co or a@b.co now").otherwise(F.col("text")))
     got = pii.redact(df)
