@@ -7,7 +7,7 @@ bytes, contexts starting afresh with each text; the language with the shortest c
 equal priors.
 
 The trees are compiled into one table of code lengths (language x longest known context x byte), in which bytes that no tree has seen share
-a column, since they cost the same. Only contexts seen MIN_COUNT times, the most frequent MAX_CONTEXTS of each order, become nodes.
+a column, since they cost the same. Only contexts seen MIN_COUNT times become nodes.
 
 Trees are learned from about SAMPLE_DOCS labelled documents of each language, chosen by hash of the id.
 
@@ -31,7 +31,6 @@ from .sampling import fold
 
 MAX_ORDER = 3
 MIN_COUNT = 3
-MAX_CONTEXTS = 12_000
 SAMPLE_DOCS = 250
 UNDETERMINED = "und"
 
@@ -71,7 +70,6 @@ class Model:
             ids, at = np.unique(ctx, return_inverse=True)
             total = np.bincount(at, weights=n, minlength=len(ids)) if len(ids) else np.zeros(0)
             keep = np.flatnonzero((total >= MIN_COUNT) | (k == 0))
-            keep = np.sort(keep[np.argsort(-total[keep], kind="stable")[:MAX_CONTEXTS]])
             ids = ids[keep]
             if k == 0:
                 parent = np.zeros(len(ids), dtype=np.int64)
@@ -196,7 +194,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 def identify(df: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """Adds lang_col and score_col for every whole text."""
     df = df.drop(lang_col, score_col)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded: MAX_CONTEXTS nodes of each order
+    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the sampled documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -138,6 +138,18 @@ def test_language_code_lengths(monkeypatch):
         assert np.allclose(got, want, rtol=1e-4)
 
 
+def test_language_keeps_rare_contexts_beside_rich_languages():
+    """More contexts than 12,000 in one language, all more frequent than the other's, which are seen three times."""
+    rng = random.Random(10)
+    rich = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400_000))
+    texts = {"rich": [rich], "short": ["0123456789 31415926535 2718281828"] * 3}
+    from changelake.llm.textkit import as_bytes
+
+    probe = ["0123456789", "31415926535 0123", "2718281828 012"]
+    got = language_id.Model(texts, 3).code_lengths(*as_bytes(pa.array(probe)))[:, 1]
+    assert np.allclose(got, [ppm_brute(texts["short"], t, 3) for t in probe], rtol=1e-4)
+
+
 def test_language_frames(spark, docs, empty):
     rng = random.Random(9)
     rows = [(i, prose(rng, rng.randint(8, 60), i % 3), "xyz"[i % 3]) for i in range(300)]
