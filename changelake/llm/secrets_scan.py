@@ -5,7 +5,7 @@ The method adds kind markov: other runs of 20+ token characters that hold a digi
 character is over `threshold`. Added spans never overlap base spans.
 
 Both models are order-2 character models with Laplace smoothing. They are trained from labelled samples: random strings are the values of
-base matches, ordinary identifiers are the other words, of a sample of about SAMPLE_DOCS documents chosen by hash of the id (all, where
+base matches, ordinary identifiers are the other words, all of them, of a sample of about SAMPLE_DOCS documents chosen by hash of the id (all, where
 there are fewer); generated random strings and identifiers made of the words stand beside them, so that a corpus without secrets trains too.
 
 Rows: each input row gives one output row; a null or empty text has no spans; other columns pass through, and one named like the output
@@ -117,8 +117,7 @@ def labelled_samples(texts: list[str]) -> tuple[list[str], list[str]]:
         words.update(_WORD.findall(spans.cut_out(t, [(a, b, " ") for _, a, b in found])))
     words = [*_PLAIN, *sorted(words)]
     rng.shuffle(words)
-    words = words[:20000]
-    secrets = sorted(set(secrets))[:5000] + ["".join(rng.choice(a) for _ in range(rng.randint(20, 48))) for a in _RANDOM_ALPHABETS for _ in range(1500)]
+    secrets = sorted(set(secrets)) + ["".join(rng.choice(a) for _ in range(rng.randint(20, 48))) for a in _RANDOM_ALPHABETS for _ in range(1500)]
     made = []
     for _ in range(8000):
         part = [rng.choice(words) for _ in range(rng.randint(2, 4))]

@@ -98,6 +98,14 @@ def test_secrets_behind_equals_signs(docs):
         assert [s[:3] for s in scanner.find(t)] == [("markov", len(before), end)], t
 
 
+def test_secrets_learn_from_all_strings_of_the_sample():
+    rng = random.Random(7)
+    keys = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20)) + str(rng.randint(0, 9)) for _ in range(3000)] + [f"{rng.getrandbits(128):032X}" for _ in range(6000)]
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(25000)]
+    secrets, plain = secrets_scan.labelled_samples([f"token={k}" for k in keys] + [" ".join(words)])
+    assert set(keys) <= set(secrets) and set(words) <= set(plain)
+
+
 def ppm_brute(texts, text, order):
     """Bits by method C over dictionaries."""
     counts = {}
