@@ -5,8 +5,8 @@ The method adds kind markov: other runs of 20+ token characters that hold a digi
 character is over `threshold`. Added spans never overlap base spans.
 
 Both models are order-2 character models with Laplace smoothing. They are trained from labelled samples: random strings are the values of
-base matches, ordinary identifiers are the other words, all of them, of a sample of about SAMPLE_DOCS documents chosen by hash of the id (all, where
-there are fewer); generated random strings and identifiers made of the words stand beside them, so that a corpus without secrets trains too.
+base matches, ordinary identifiers are the other words, all of them, of a sample of SAMPLE_DOCS documents at most, the least by a hash of id and
+text (all, where there are fewer); generated random strings and identifiers made of the words stand beside them, so that a corpus without secrets trains too.
 
 Rows: each input row gives one output row; a null or empty text has no spans; other columns pass through, and one named like the output
 column is replaced; an empty table stays empty; repeated rows are each scored.
@@ -126,7 +126,8 @@ def labelled_samples(texts: list[str]) -> tuple[list[str], list[str]]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, threshold: float = 0.5) -> Scanner:
-    sample = bounded_sample(docs, [id_col], sample_docs).select(text_col).where(F.col(text_col).isNotNull())
+    texts = docs.select(id_col, text_col)
+    sample = bounded_sample(texts.where(F.col(text_col).isNotNull()), [id_col, text_col], sample_docs, texts.count()).select(text_col)
     return Scanner(*labelled_samples([r[0] for r in sample.collect()]), threshold)
 
 

@@ -6,10 +6,10 @@ the class prior and how often each voter votes and is right, anchored by the giv
 their class explains are one group, whose joint votes are modelled. Its posteriors are the soft labels of a linear classifier on the
 presence of hashed words and stems, which scores every whole text.
 
-The sample is bounded: about SAMPLE_LABELLED labelled rows and SAMPLE_UNLABELLED others, chosen by hash of the id.
+The sample is bounded: SAMPLE_LABELLED labelled rows and SAMPLE_UNLABELLED others at most, the least by a hash of id and text.
 
 Rows: each input row gives one output row; a null or empty text scores like a text without any known unit; where no label can be learned the
-score is 0; labels that are null are not learned; other columns pass through, and one named like the output is replaced; repeated rows are
+score is 0; labels that are null are not learned, nor are rows with a null id, which no fold holds out; of labels that contradict each other for one id, toxic counts; other columns pass through, and one named like the output is replaced; repeated rows are
 each scored; an empty table stays empty.
 """
 
@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkit
-from .sampling import bounded_sample, fold
+from .sampling import bounded_sample, fold, place
 
+#: Rows that are learned from: labelled ones, and others.
 SAMPLE_LABELLED = 4000
 SAMPLE_UNLABELLED = 1000
-FEATURES = 300
+#: Size of the model: voters that are mined, and units with a weight of their own, whose presence must tell the classes apart by so many
+#: standard deviations.
 LEXICON_VOTERS = 80
+FEATURES = 300
+CLEAR = 6.0
 PREFIXES = (3, 4, 5, 6)
 #: How often a given label is taken to be right.
 LABELS_RIGHT = 0.97
@@ -222,7 +226,7 @@ def fit_linear(x: Incidence, soft: np.ndarray, always: list[int], l2: float = 1e
     share = np.clip((c1 + c0) / (n1 + n0), 1e-9, 1 - 1e-9)
     z = np.abs(c1 / n1 - c0 / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
     clear = np.argsort(-z, kind="stable")[:FEATURES]
-    cols = np.union1d(clear[z[clear] >= 6], np.array(always, dtype=np.int64)).astype(np.int64)
+    cols = np.union1d(clear[z[clear] >= CLEAR], np.array(always, dtype=np.int64)).astype(np.int64)
     m = np.zeros((x.n, len(cols)), dtype=np.float32)
     for i, c in enumerate(cols.tolist()):
         m[x.rows(c), i] = 1
@@ -254,9 +258,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_labelled: int = SAMPLE_LABE
     """docs (doc_id, text), labels (doc_id, toxic): rows that may be learned from."""
     labels = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     held = F.broadcast(bounded_sample(labels, ["doc_id"], sample_labelled))  # bounded by sample_labelled
-    rows = docs.where("text is not null").join(held, "doc_id").select("text", "toxic").collect()
-    more = bounded_sample(docs.select("doc_id", "text").where("doc_id is not null"), ["doc_id"], sample_unlabelled)
-    more = more.where("text is not null").join(held.select("doc_id"), "doc_id", "left_anti").select("text", F.lit(-1).alias("toxic")).collect()
+    # An id may repeat without bound: of its rows, too, only the least by hash are collected.
+    rows = docs.where("text is not null").join(held, "doc_id").orderBy(place("doc_id", "text"), "text").limit(sample_labelled).select("text", "toxic").collect()
+    more = docs.select("doc_id", "text").where("doc_id is not null and text is not null").join(held.select("doc_id"), "doc_id", "left_anti")
+    more = bounded_sample(more, ["doc_id", "text"], sample_unlabelled, docs.count()).select("text", F.lit(-1).alias("toxic")).collect()
     rows = sorted((r[0], int(r[1])) for r in [*rows, *more])
     return learn([t for t, _ in rows], np.array([y for _, y in rows]))[0]
 
@@ -277,6 +282,7 @@ def score(df: DataFrame, classifier: Classifier, text_col: str = "text", out_col
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held = fold("doc_id", 5) == 0
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(~held)
-    out = score(docs, train(docs.where(~held), labels))
+    learned = fold("doc_id", 5) > 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(learned)
+    out = score(docs, train(docs.where(learned), labels))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

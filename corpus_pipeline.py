@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from changelake.llm import decontaminate, language_id, ngram_join, packing, pii
 from changelake.llm.scratch import Scratch
 
-#: A document whose language is less certain than this is rejected.
+#: A document whose language is less certain than this is rejected; and one whose best language saves fewer bits a byte than this against
+#: the letters' frequencies alone, since its contexts are then those of no language. (Clean texts save more than 2, odd short ones -1 to -2,
+#: texts in unknown languages and junk -4 and less.)
 MIN_LANGUAGE_SCORE = 0.5
+MIN_SAVED_BITS = -2.5
 #: A document of whose words more than this share is benchmark text is dropped; of others, the passages are cut out.
 MAX_COVERAGE = 0.5
 
@@ -25,8 +28,8 @@ MAX_COVERAGE = 0.5
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model can tell; it learns from the labelled ones."""
     model = language_id.train(docs)
-    told = language_id.identify(docs, model, lang_col="__lang_pred", score_col="__score")
-    return told.where((F.col("__lang_pred") != language_id.UNDETERMINED) & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    seen = language_id.identify(docs, model, lang_col="__lang", score_col="__score", saved_col="__saved")
+    return seen.where(language_id.told("__lang", "__score", "__saved", MIN_LANGUAGE_SCORE, MIN_SAVED_BITS)).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

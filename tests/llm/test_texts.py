@@ -131,17 +131,17 @@ def ppm_brute(texts, text, order):
     return out
 
 
-def test_language_code_lengths(monkeypatch):
-    monkeypatch.setattr(language_id, "MIN_COUNT", 1)
+def test_language_code_lengths():
+    """The shipped model, whole, at several orders."""
     rng = random.Random(8)
     texts = {x: [prose(rng, 30, i) for _ in range(3)] for i, x in enumerate(("aa", "bb", "cc"))}
     texts["cc"].append("été ß")
-    for order in (1, 2, 3):
+    for order in (1, 2, 3, 5):
         model = language_id.Model(texts, order)
         probe = ["the of and", "", "été zz\x00", prose(rng, 20, 1), "t"]
         from changelake.llm.textkit import as_bytes
 
-        got = model.code_lengths(*as_bytes(pa.array(probe)))
+        got, _ = model.code_lengths(*as_bytes(pa.array(probe)))
         want = [[ppm_brute(texts[x], t, order) for x in ("aa", "bb", "cc")] for t in probe]
         assert np.allclose(got, want, rtol=1e-4)
 
@@ -154,7 +154,7 @@ def test_language_keeps_rare_contexts_beside_rich_languages():
     from changelake.llm.textkit import as_bytes
 
     probe = ["0123456789", "31415926535 0123", "2718281828 012"]
-    got = language_id.Model(texts, 3).code_lengths(*as_bytes(pa.array(probe)))[:, 1]
+    got = language_id.Model(texts, 3).code_lengths(*as_bytes(pa.array(probe)))[0][:, 1]
     assert np.allclose(got, [ppm_brute(texts["short"], t, 3) for t in probe], rtol=1e-4)
 
 
@@ -239,3 +239,58 @@ def test_html_frame(spark):
     got = html_extract.extract(df)
     assert got.count() == 3 and {r["text"] for r in got.where("page_id = 2").collect()} == {""}
     assert html_extract.extract(df.limit(0)).count() == 0
+
+
+def test_language_query_equals_brute_force(spark):
+    """op5's whole result from dictionaries of counts, over a table small enough that the sample is all labelled documents."""
+    import zlib
+
+    from tests.conftest import SF
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    texts = {}
+    for r in rows:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            texts.setdefault(r["lang"], []).append(r["text"])
+    assert max(map(len, texts.values())) <= language_id.SAMPLE_DOCS
+    got = {r["doc_id"]: r for r in language_id.op5_language(spark, SF).collect()}
+    langs = sorted(texts)
+    short = [r for r in rows if r["text"] and len(r["text"]) < 300][:12]
+    for r in short:
+        own = got[r["doc_id"]]
+        bits = [ppm_brute(texts[x], r["text"], language_id.MAX_ORDER) for x in langs]
+        assert own["lang_pred"] == (langs[int(np.argmin(bits))] if any(c.isalpha() for c in r["text"]) else "und")
+        assert own["score"] == pytest.approx(1 / sum(2.0 ** max(-1000, min(bits) - b) for b in bits), abs=1e-3)
+    assert len(got) == len(rows) and all(got[r["doc_id"]]["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if got[r["doc_id"]]["held_out"] and r["lang"]]
+    assert np.mean([got[r["doc_id"]]["lang_pred"] == r["lang"] for r in held]) > 0.95
+
+
+def test_language_stage_rejects_junk(spark):
+    """Texts of no learned language go, clean ones stay."""
+    import corpus_pipeline
+    from tests.conftest import SF
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    junk = ["xK#9f @@!! 0x8s7d6 qqzj vvkk", "Привет мир, это русский текст для проверки", "asdkjh qwoeiu zxmncb qpwoei alskdj", "zażółć gęślą jaźń, łąki żółwi"]
+    more = spark.createDataFrame([(10**7 + i, t, None, "s", len(t)) for i, t in enumerate(junk)], docs.schema)
+    kept = {r[0] for r in corpus_pipeline.language_stage(spark, docs.unionByName(more), SF).select("doc_id").collect()}
+    assert not any(i >= 10**7 for i in kept)
+    clean = {r[0] for r in docs.where("text rlike '[A-Za-z]'").select("doc_id").collect()}
+    assert len(clean - kept) <= 0.005 * len(clean)
+
+
+def test_samples_are_bounded_at_every_size(spark):
+    from changelake.llm import sampling
+
+    for n in (10, 10**4, 10**7, 3 * 10**8, 10**10, 10**13):
+        limit = sampling.threshold(250, n)
+        assert 0 < limit <= sampling.SPACE and (limit == sampling.SPACE or abs(limit / sampling.SPACE * n - 500) < 1)
+    df = spark.range(100_000).selectExpr("cast(null as bigint) as doc_id", "concat('text ', id % 70000) as text", "if(id % 3 = 0, 'a', 'b') as lang")
+    assert sampling.bounded_sample(df, ["doc_id", "text"], 1000).count() == 1000
+    same = df.withColumn("text", F.lit("one"))
+    assert sampling.bounded_sample(same, ["doc_id", "text"], 1000).count() <= 1000
+    two = sampling.bounded_sample_by(df, "lang", ["doc_id", "text"], 250, {"a": 33_334, "b": 66_666})
+    assert {r["lang"]: r["count"] for r in two.groupBy("lang").count().collect()} == {"a": 250, "b": 250}
+    first = sampling.bounded_sample(df.repartition(7), ["doc_id", "text"], 40)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, sampling.bounded_sample(df.coalesce(1), ["doc_id", "text"], 40).collect()))
