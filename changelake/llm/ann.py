@@ -1,13 +1,17 @@
 """Approximate search for the largest inner product with score-aware (anisotropic) quantisation.
 
-A quantiser of SUBSPACES groups of coordinates with 16 centres each is fitted on about SAMPLE vectors, chosen by hash of the id. Its loss
-weighs the residual's part along the vector `eta` times as much as the rest, since that part moves the scores of the queries that matter;
+A quantiser of groups of WIDTH coordinates with 16 centres each is fitted on SAMPLE vectors at most, the least by a hash of id and vector. Its
+loss weighs the residual's part along the vector `eta` times as much as the rest, since that part moves the scores of the queries that matter;
 codes are chosen by coordinate descent under that loss, centres by weighted least squares. Every row is encoded and indexed (4 bits a
-group). A search adds up table entries for all rows, two 4-bit codes at a time, and reranks the best of each batch with exact inner products
-in double precision: at least RERANK of them, or the share RERANK_SHARE of the batch, so that recall does not fall as tables grow.
+group). A search adds up table entries for all rows, two 4-bit codes at a time, and reranks the best with exact inner products, summed in
+double precision in one order for every row, so that equal vectors have equal scores.
 
-Queries come in blocks of about BLOCK, each collected, broadcast and held against all rows; the partial results hold `k` rows for each query
-and task, and are merged by rank.
+The number of rows that are reranked for a query, `depth`, depends on the table alone: DEPTH times the square root of its rows. A task takes
+its rows in batches and keeps the `depth` best approximate scores that it has met, so that, however rows are dealt to tasks and batches, at
+least the `depth` best of the whole table are reranked.
+
+Queries come in blocks of about BLOCK; each is collected, broadcast, held against all rows, and its result written, before the next. Partial
+results hold `k` rows for each query and task, and are merged by rank.
 
 Rows: vectors that are null, zero, of another length than most (ties: the shorter), or hold null or non-finite components take no part, nor
 do null ids; a query never meets rows of its own id; rows that repeat an id are candidates each, and one query (the least vector);
@@ -16,6 +20,7 @@ ties in score go to smaller ids; other columns are not read; empty tables give n
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +29,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit
-from .sampling import bounded_sample
+from .sampling import bounded_sample, place
 from .scratch import Scratch
 
 WIDTH = 2
 SAMPLE = 4000
 BLOCK = 4096
-RERANK = 200
-RERANK_SHARE = 0.06
+DEPTH = 2.0
 THRESHOLD = 0.2
 CENTRES = 16
 
@@ -120,16 +124,6 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(col.flatten(), dtype=np.float64).reshape(-1, dim)
 
 
-def best_of(scores: np.ndarray, ids_ascend: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k largest, ties to the earlier; the whole where there are fewer. ids_ascend: the order that decides ties."""
-    if len(scores) <= k:
-        return np.arange(len(scores))
-    s = scores[ids_ascend]
-    least = np.partition(s, len(s) - k)[len(s) - k]
-    over = np.flatnonzero(s > least)
-    return ids_ascend[np.concatenate([over, np.flatnonzero(s == least)[: k - len(over)]])]
-
-
 class Index:
     """Codes and vectors of every usable row, in a shared folder."""
 
@@ -143,9 +137,10 @@ class Index:
             self.rows = None
             return
         rows = rows.where(usable(F.col("vector"), self.dim))
-        held = np.array([r[0] for r in bounded_sample(rows, ["vec_id"], sample).select("vector").collect()])
-        if not len(held):
-            held = np.array([r[0] for r in rows.select("vector").limit(1).collect()])  # a sample by chance empty
+        held = bounded_sample(rows, ["vec_id", "vector"], sample, int(sizes[1])).select("vector").collect()
+        if not held:  # most rows of this length can't be used
+            held = rows.orderBy(place("vec_id", "vector"), "vec_id").limit(sample).select("vector").collect()
+        held = np.array([r[0] for r in held])
         if not len(held):
             self.rows = None
             return
@@ -161,46 +156,49 @@ class Index:
 
         self.rows = self.scratch.table(textkit.map_arrow(rows, run, "vec_id long, vector array<double>, code binary"), "index")
 
-    def search(self, queries: Column, k: int, block: int = BLOCK, rerank: int = RERANK, share: float = RERANK_SHARE) -> DataFrame:
+    def search(self, queries: Column, k: int, block: int = BLOCK, depth: float = DEPTH) -> DataFrame:
         """query_id, rank, vec_id, score: the k nearest found for each indexed row for which the condition `queries` on vec_id holds."""
-        schema = "query_id long, vec_id long, score double"
         if self.rows is None:
             return self.spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        most = max(k + 1, math.ceil(depth * math.sqrt(self.rows.count())))
         asked = self.rows.where(queries).select("vec_id", "vector")
         n = max(1, -(-asked.count() // block))
+        asked = self.scratch.table(asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n))), "queries", by="block")
         found = None
         for i in range(n):
-            own = sorted((r[0], r[1]) for r in asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == i).collect())
+            own = sorted((r[0], r[1]) for r in asked.where(F.col("block") == i).select("vec_id", "vector").collect())
             own = [x for j, x in enumerate(own) if not j or x[0] != own[j - 1][0]]
-            part = self._held_against(own, k, rerank, share, schema)
-            found = part if found is None else found.unionByName(part)
-        found = self.scratch.table(found, "found")
+            if own:
+                part = self.scratch.table(self._held_against(own, k, most), "found")
+                found = part if found is None else found.unionByName(part)
+        if found is None:
+            return self.spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    def _held_against(self, own: list, k: int, rerank: int, share: float, schema: str) -> DataFrame:
+    def _held_against(self, own: list, k: int, depth: int) -> DataFrame:
         ids, vectors = np.array([x for x, _ in own], dtype=np.int64), np.array([v for _, v in own]).reshape(len(own), self.dim)
         shared, dim = self.spark.sparkContext.broadcast((self.quantiser, ids, vectors)), self.dim
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             q, ids, vectors = shared.value
             kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in ids]
+            heads = [np.zeros(0, np.float32) for _ in ids]  # each query's best approximate scores so far
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 vec_id, x = np.asarray(batch.column("vec_id")), _matrix(batch.column("vector"), dim)
                 code = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint8).reshape(len(vec_id), -1).T.copy()
-                order = np.argsort(vec_id, kind="stable")
-                depth = max(rerank, k + 1, int(share * len(vec_id)))
                 for at in range(0, len(ids), 128):
                     table = q.tables(vectors[at : at + 128])
                     for i in range(len(table)):
                         scan = table[i, 0].take(code[0])
                         for p in range(1, len(code)):
                             scan += table[i, p].take(code[p])
-                        best = best_of(scan, order, depth)
+                        best = np.flatnonzero(scan >= _least(np.concatenate([heads[at + i], scan]), depth))  # ties all stay
+                        heads[at + i] = _best(np.concatenate([heads[at + i], scan[best]]), depth)
                         best = best[vec_id[best] != ids[at + i]]
-                        exact = x[best] @ vectors[at + i]
+                        exact = (x[best] * vectors[at + i]).sum(axis=1)
                         top = np.lexsort((vec_id[best], -exact))[:k]
                         rows = kept[at + i]
                         rows.append((vec_id[best][top], exact[top]))
@@ -210,7 +208,16 @@ class Index:
                 rows = [_merged(r, k) for r in kept[at : at + 512]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at : at + 512], [len(a) for a, _ in rows])), pa.array(np.concatenate([a for a, _ in rows])), pa.array(np.concatenate([b for _, b in rows]))], names=["query_id", "vec_id", "score"])
 
-        return textkit.map_arrow(self.rows, run, schema)
+        return textkit.map_arrow(self.rows, run, "query_id long, vec_id long, score double")
+
+
+def _least(scores: np.ndarray, n: int) -> float:
+    """The n-th largest; where there are fewer, less than any."""
+    return np.partition(scores, len(scores) - n)[len(scores) - n] if len(scores) >= n else -np.inf
+
+
+def _best(scores: np.ndarray, n: int) -> np.ndarray:
+    return np.partition(scores, len(scores) - n)[len(scores) - n :] if len(scores) > n else scores
 
 
 def _merged(rows: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import tempfile
 import uuid
@@ -20,18 +21,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Intermediate Parquet tables of one query. Written tables cut lineage and survive the loss of executors."""
+    """Intermediate Parquet tables of one query. Written tables cut lineage and survive the loss of executors.
+
+    The tables that a query's result still reads can't go before that is read; all go with the session (or with close()).
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        _ROOTS.append((spark, self.root))
 
-    def table(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """Writes df and reads it back."""
+    def table(self, df: DataFrame, name: str = "t", by: str | None = None) -> DataFrame:
+        """Writes df, in folders by the column `by` if given, and reads it back."""
         path = f"{self.root}/{self.n:03d}-{name}"
         self.n += 1
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         self.release()
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
@@ -44,9 +49,30 @@ class Scratch:
 
     def drop(self, df: DataFrame) -> None:
         """Deletes a table that table() gave and that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, df.scratch_path)
+
+    def close(self) -> None:
+        """Deletes all tables."""
+        _delete(self.spark, self.root)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_ROOTS: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _leave() -> None:
+    """Scratch of sessions that still run when the program ends."""
+    for spark, root in _ROOTS:
+        try:
+            if spark.sparkContext._jsc is not None:
+                _delete(spark, root)
+        except Exception:  # the session has ended: its scratch stays for whoever keeps the shared folder
+            continue
 
 
 #: Rows of keys that are broadcast at most.

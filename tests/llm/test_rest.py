@@ -106,13 +106,36 @@ def test_nearest_recall(spark):
     rows = [(int(i), (centres[i % 20] + 0.7 * rng.normal(size=32)).tolist()) for i in range(3000)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
     got = defaultdict(list)
-    for r in ann.Index(df).search(F.col("vec_id") % 20 == 0, 20, block=64, rerank=60, share=0.05).orderBy("query_id", "rank").collect():
+    for r in ann.Index(df).search(F.col("vec_id") % 20 == 0, 20, block=64).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append(r["vec_id"])
     want = nearest_brute([(i, np.array(v, np.float32).tolist()) for i, v in rows], lambda i: i % 20 == 0, 20)
     assert set(got) == set(want)
     assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.9
 
 
+def test_nearest_recall_as_shipped(spark, tmp_path):
+    """100,000 vectors without structure, the hardest kind; the settings of the query."""
+    import pyarrow.parquet as pq
+
+    x = np.random.default_rng(8).normal(size=(100_000, 48)).astype(np.float32)
+    x[70_000:70_100] = x[0]  # equal vectors, over batches and tasks
+    ids = np.arange(len(x))
+    for k in range(3):
+        pq.write_table(pa.table({"vec_id": ids[k::3], "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x[k::3].ravel()), 48).cast(pa.list_(pa.float32()))}), tmp_path / f"{k}.parquet")
+    got = defaultdict(list)
+    for r in ann.Index(spark.read.parquet(str(tmp_path))).search(F.col("vec_id") % 2000 == 0, 20).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert set(got) == set(range(0, 100_000, 2000))
+    wide, hits = x.astype(float), []
+    for i, rows in got.items():
+        score = (wide * wide[i]).sum(axis=1)
+        want = [j for j in np.lexsort((ids, -score))[:21] if j != i][:20]
+        assert all(s == score[j] for j, s in rows) and [j for j, _ in rows] == sorted((j for j, _ in rows), key=lambda j: (-score[j], j))
+        hits.append(len(set(want) & {j for j, _ in rows}) / 20)
+    assert np.mean(hits) >= 0.9, np.mean(hits)
+    assert [j for j, _ in got[0]] == list(range(70_000, 70_020))
+
+
 def test_nearest_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (3, [1.0, 1.0]), (2, [1.0, 1.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (9, [1.0]), (None, [1.0, 1.0]), (40, None)]
