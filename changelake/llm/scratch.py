@@ -3,21 +3,15 @@
 from __future__ import annotations
 
 import atexit
-import gc
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests, one machine), a new one, which is then set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="changelake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+#: While a table is written: shuffle files go as soon as the write that made them is done.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Scratch:
@@ -36,21 +30,24 @@ class Scratch:
         """Writes df, in folders by the column `by` if given, and reads it back."""
         path = f"{self.root}/{self.n:03d}-{name}"
         self.n += 1
-        (df.write.partitionBy(by) if by else df.write).parquet(path)
-        self.release()
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            (df.write.partitionBy(by) if by else df.write).parquet(path)
+        finally:
+            self.spark.conf.unset(_CLEANUP) if before is None else self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out
 
-    def release(self) -> None:
-        """Lets go of the shuffle files of finished steps, which otherwise stay until the driver happens to collect its garbage."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self, df: DataFrame) -> None:
         """Deletes a table that table() gave and that nothing reads any more."""
         _delete(self.spark, df.scratch_path)
 
+    def delete(self, name: str) -> None:
+        """Deletes a folder beside the tables."""
+        _delete(self.spark, f"{self.root}/{name}")
+
     def close(self) -> None:
         """Deletes all tables."""
         _delete(self.spark, self.root)
@@ -83,3 +80,21 @@ def among(df: DataFrame, keys: DataFrame, *cols: str) -> DataFrame:
     """The rows of df whose key is in the table `keys` (written, one row a key): broadcast where those are FEW at most, joined by shuffle beyond."""
     keys = keys.select(*cols)
     return df.join(F.broadcast(keys) if keys.count() <= FEW else keys, list(cols), "left_semi")
+
+
+#: A key with more rows than this, and than the HOT_KEYS-th part of all rows, is hot; so there are at most HOT_KEYS hot keys.
+HOT_ROWS = 500
+HOT_KEYS = 100_000
+
+
+def attach(rows: DataFrame, keyed: DataFrame, keys: list[str], n: int, how: str = "inner", times: str = "times") -> DataFrame:
+    """rows (written, n of them) joined with keyed (written, one row a key, `times`: how many rows have it), without `times`.
+
+    The hot keys' rows never leave their tasks: those few keys are broadcast. how: inner or left_semi.
+    """
+    limit = max(HOT_ROWS, n // HOT_KEYS)
+    hot = keyed.where(F.col(times) > limit).drop(times)
+    if hot.isEmpty():
+        return rows.join(keyed.drop(times), keys, how)
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(keyed.where(F.col(times) <= limit).drop(times), keys, how)
+    return rows.join(F.broadcast(hot), keys, how).unionByName(cold)

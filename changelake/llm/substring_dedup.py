@@ -6,17 +6,20 @@ starts in an earlier document: one of an earlier batch, or one of the same batch
 The index is a set of sorted immutable runs, tables bucketed and sorted by hash, one of each kind for each batch:
 
 * documents: fingerprint of the word sequence -> first document. An exact copy needs no windows; it goes as a whole.
-* anchors: the least hash of `anchor` words within each window (a winnowing sample, about one for thirteen windows) -> first document, and
+* anchors: the least hash of `anchor` words within each window (a winnowing sample, about one for thirteen windows) -> first row, and
   whether several have it. Equal windows have equal anchors, so windows matter only where their anchor is shared.
 * windows: two independent 64-bit hashes of the windows with shared anchors -> first document.
 
 A batch is merge-joined with every run on the hash (buckets meet without a shuffle of the run). Anchors that only now turn out to be shared
-have their first document's windows added from the corpus. Hits are verified by the second hash over the same 50 words, so that two
-different windows pass with a chance of 2**-128. Then the batch's own runs are written, and once there are `fan` runs they are compacted
-into one. A key costs one row in an index, however often it occurs; counts are summed before they are shuffled.
-
-Rows: one output row for each input row. Null and empty texts have no words; rows with a null id are returned whole and never indexed;
-rows that repeat an id do not count as earlier than each other; other columns are not read; empty tables stay empty.
+have their first row's windows added from the earlier texts, once in the anchor's life; where no anchor is new in that way, no earlier text
+is read, and else only those between the least and the greatest id that is wanted. Hits are verified by the second hash over the same 50
+words, so that two different windows pass with a chance of 2**-128. Then the batch's own runs are written, and once there are `fan` runs they
+are compacted into one. A key costs one row in an index, however often it occurs; counts are summed before they are shuffled, and the rows of
+hot keys (a passage or a text that a good part of all documents shares) stay in their tasks, to which those few keys are broadcast.
+
+Rows are told apart by id and a hash of the text, ids give the order: one output row for each input row, also where an id repeats; rows that
+repeat an id do not count as earlier than each other. Null and empty texts have no words; rows with a null id are returned whole and never
+indexed; other columns are not read; empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit
-from .scratch import Scratch
+from .scratch import Scratch, among, attach
 
 WINDOW = 50
 ANCHOR = 25
@@ -62,7 +65,7 @@ def _sha(words: textkit.Words, doc: int, keep: np.ndarray | None = None) -> tupl
 
 
 def _base(docs: DataFrame, window: int, anchor: int, keep_text: bool) -> DataFrame:
-    """doc_id, n_words, f1 and f2 (of the word sequence), whole (digest with all words kept), anchors (distinct but for repeats far apart)."""
+    """doc_id, row, n_words, f1 and f2 (of the word sequence), whole (digest with all words kept), anchors (distinct but for repeats far apart)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,14 +84,14 @@ def _base(docs: DataFrame, window: int, anchor: int, keep_text: bool) -> DataFra
                 new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
                 counts = np.bincount(doc[new], minlength=len(words.count))
                 done = [_sha(words, i) for i in range(len(words.count))]
-                cols = [part.column("doc_id"), pa.array(words.count.astype(np.int64)), pa.array(f1), pa.array(f2), pa.array([x for x, _ in done], pa.string()), textkit.long_lists(value[new], counts)]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array([t.decode() for _, t in done], pa.string())] * keep_text, names=["doc_id", "n_words", "f1", "f2", "whole", "anchors"] + ["kept"] * keep_text)
+                cols = [part.column("doc_id"), part.column("row"), pa.array(words.count.astype(np.int64)), pa.array(f1), pa.array(f2), pa.array([x for x, _ in done], pa.string()), textkit.long_lists(value[new], counts)]
+                yield pa.RecordBatch.from_arrays(cols + [pa.array([t.decode() for _, t in done], pa.string())] * keep_text, names=["doc_id", "row", "n_words", "f1", "f2", "whole", "anchors"] + ["kept"] * keep_text)
 
-    return textkit.map_arrow(docs, run, "doc_id long, n_words long, f1 long, f2 long, whole string, anchors array<long>" + ", kept string" * keep_text)
+    return textkit.map_arrow(docs, run, "doc_id long, row long, n_words long, f1 long, f2 long, whole string, anchors array<long>" + ", kept string" * keep_text)
 
 
 def _windows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """h1, h2, doc, at (number of its first word) of the windows of (doc_id, text, wanted) whose anchor is wanted."""
+    """h1, h2, doc, row, at (number of its first word) of the windows of (doc_id, row, text, wanted) whose anchor is wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,13 +108,14 @@ def _windows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
                 at = np.concatenate([own for _, _, own in rows] or [np.zeros(0, np.int64)])
                 from_ = np.concatenate([own + a for _, a, own in rows] or [np.zeros(0, np.int64)])
                 doc = np.repeat(np.array([i for i, _, _ in rows], np.int64), [len(own) for _, _, own in rows])
-                yield pa.RecordBatch.from_arrays([pa.array(h1[from_].view(np.int64)), pa.array(h2[from_].view(np.int64)), part.column("doc_id").take(pa.array(doc)), pa.array(at.astype(np.int32))], names=["h1", "h2", "doc", "at"])
+                own = [part.column(c).take(pa.array(doc)) for c in ("doc_id", "row")]
+                yield pa.RecordBatch.from_arrays([pa.array(h1[from_].view(np.int64)), pa.array(h2[from_].view(np.int64)), *own, pa.array(at.astype(np.int32))], names=["h1", "h2", "doc", "row", "at"])
 
-    return textkit.map_arrow(texts, run, "h1 long, h2 long, doc long, at int")
+    return textkit.map_arrow(texts, run, "h1 long, h2 long, doc long, row long, at int")
 
 
 def _cut(texts: DataFrame, window: int, keep_text: bool) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of (doc_id, text, hits)."""
+    """doc_id, row, n_words, n_removed, kept_sha256 of (doc_id, row, text, hits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,22 +125,22 @@ def _cut(texts: DataFrame, window: int, keep_text: bool) -> DataFrame:
                 for i, n in enumerate(words.count.tolist()):
                     steps = np.zeros(n + 1, np.int64)
                     hits = np.array(part.column("hits")[i].values.to_numpy(zero_copy_only=False), np.int64)
-                    hits = hits[hits + window <= n]  # rows that share an id may be shorter
                     np.add.at(steps, hits, 1)
                     np.add.at(steps, hits + window, -1)
                     keep = np.cumsum(steps)[:n] == 0
                     removed.append(int(n - keep.sum()))
                     done.append(_sha(words, i, keep))
-                cols = [part.column("doc_id"), pa.array(words.count.astype(np.int64)), pa.array(removed, pa.int64()), pa.array([x for x, _ in done], pa.string())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array([t.decode() for _, t in done], pa.string())] * keep_text, names=["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * keep_text)
+                cols = [part.column("doc_id"), part.column("row"), pa.array(words.count.astype(np.int64)), pa.array(removed, pa.int64()), pa.array([x for x, _ in done], pa.string())]
+                yield pa.RecordBatch.from_arrays(cols + [pa.array([t.decode() for _, t in done], pa.string())] * keep_text, names=["doc_id", "row", "n_words", "n_removed", "kept_sha256"] + ["kept"] * keep_text)
 
-    return textkit.map_arrow(texts, run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
+    return textkit.map_arrow(texts, run, "doc_id long, row long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
 
 
 class FingerprintIndex:
     """Runs of one corpus. Batches are ingested in order; each ingest returns what is left of its documents."""
 
     KEYS = {"documents": ["f1", "f2", "n_words"], "anchors": ["anchor"], "windows": ["h1", "h2"]}
+    FIRST = {"documents": "bigint", "anchors": "struct<doc: bigint, row: bigint>", "windows": "bigint"}
 
     def __init__(self, spark: SparkSession, window: int = WINDOW, anchor: int = ANCHOR, fan: int = FAN, keep_text: bool = False):
         self.spark, self.window, self.anchor, self.fan, self.keep_text = spark, window, anchor, fan, keep_text
@@ -147,20 +151,24 @@ class FingerprintIndex:
         self.made = 0
 
     def _write(self, kind: str, df: DataFrame) -> str:
-        """A run: key columns, first, several; one row for a key, bucketed and sorted by it."""
+        """A run: key columns, first, several; one row for a key, bucketed and sorted by it, in the shared folder."""
         self.made += 1
         name = f"{self.name}_{kind}_{self.made}"
-        df.write.format("parquet").bucketBy(self.buckets, *self.KEYS[kind]).sortBy(*self.KEYS[kind]).saveAsTable(name)
+        df.write.format("parquet").option("path", f"{self.scratch.root}/{name}").bucketBy(self.buckets, *self.KEYS[kind]).sortBy(*self.KEYS[kind]).saveAsTable(name)
         return name
 
+    def _forget(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.scratch.delete(name)
+
     def _joined(self, kind: str, own: DataFrame) -> DataFrame:
-        """own (keys, lo, several) with first, several and old (the first document in a run, if any), by merge joins with each run."""
+        """own (keys, lo, several, times) with first, several and old (the first of a run, if any), by merge joins with each run."""
         keys = self.KEYS[kind]
-        out = own.withColumns({"old": F.lit(None).cast("long"), "was": F.lit(False)})
+        out = own.withColumns({"old": F.lit(None).cast(self.FIRST[kind]), "was": F.lit(False)})
         for name in self.runs[kind]:
             run = self.spark.table(name).select(*keys, F.col("first").alias("__f"), F.col("several").alias("__s"))
             out = out.join(run, keys, "left").withColumns({"old": F.least("old", "__f"), "was": F.col("was") | F.coalesce("__s", F.lit(False))}).drop("__f", "__s")
-        return out.select(*keys, F.coalesce("old", "lo").alias("first"), (F.col("several") | F.col("old").isNotNull()).alias("several"), "old", "was")
+        return out.select(*keys, F.coalesce("old", "lo").alias("first"), (F.col("several") | F.col("old").isNotNull()).alias("several"), "old", "was", "times")
 
     def _compact(self) -> None:
         for kind, names in self.runs.items():
@@ -171,10 +179,10 @@ class FingerprintIndex:
                     more = self.spark.table(n).select(*self.KEYS[kind], F.col("first").alias("__f"), F.col("several").alias("__s"))
                     either = F.coalesce("several", F.lit(False)) | F.coalesce("__s", F.lit(False))
                     whole = whole.join(more, self.KEYS[kind], "full").select(*self.KEYS[kind], F.least("first", "__f").alias("first"), either.alias("several"))
-                one = self._write(kind, whole)
+                self.runs[kind] = [self._write(kind, whole), *names]
                 for n in names:
-                    self.spark.sql(f"DROP TABLE {n}")
-                self.runs[kind] = [one]
+                    self._forget(n)
+                self.runs[kind] = self.runs[kind][:1]
 
     def _add(self, kind: str, own: DataFrame) -> DataFrame:
         """Writes own as a run, joined with those before it, and returns it."""
@@ -182,67 +190,90 @@ class FingerprintIndex:
         self.runs[kind].append(name)
         return self.spark.table(name)
 
+    def _earlier(self, history: DataFrame, wanted: DataFrame) -> DataFrame:
+        """The rows of history whose id is wanted; ids outside their range are skipped by the scan."""
+        low, high = wanted.agg(F.min("doc"), F.max("doc")).first()
+        rows = history.select("doc_id", "text").where(F.col("doc_id").between(low, high))
+        ids = self.scratch.table(wanted.select(F.col("doc").alias("doc_id")).distinct(), "ids")
+        return among(rows, ids, "doc_id").withColumn("row", F.xxhash64("text"))
+
     def ingest(self, batch: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """doc_id, n_words, n_removed, kept_sha256 (and kept) for each row of batch (doc_id, text). history: the documents ingested before."""
         keep, window = self.scratch.table, self.window
         self._compact()
-        batch = batch.select("doc_id", "text")
+        batch = batch.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
         base = keep(_base(batch, window, self.anchor, self.keep_text), "base")
         known = base.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-        docs = self._add("documents", known.groupBy("f1", "f2", "n_words").agg(F.min("doc_id").alias("lo"), F.lit(False).alias("several")))
-        state = keep(base.drop("anchors").join(docs.select("f1", "f2", "n_words", F.col("first").alias("__first")), ["f1", "f2", "n_words"], "left").withColumn("copy", F.coalesce(F.col("__first") != F.col("doc_id"), F.lit(False))).drop("__first", "f1", "f2"), "state")
-        fresh = known.join(docs.select(*self.KEYS["documents"], F.col("first").alias("doc_id")), [*self.KEYS["documents"], "doc_id"], "left_semi")
-        each = fresh.select(F.col("doc_id").alias("doc"), F.explode("anchors").alias("anchor"))
-        anchors = self._add("anchors", each.groupBy("anchor").agg(F.min("doc").alias("lo"), (F.min("doc") < F.max("doc")).alias("several")))
-        shared = anchors.where("several")
-        wanted = each.join(shared.select("anchor"), "anchor", "left_semi")
+        n = base.count()
+        docs = self._add("documents", known.groupBy("f1", "f2", "n_words").agg(F.min("doc_id").alias("lo"), F.lit(False).alias("several"), F.count("*").alias("times")))
+        firsts = attach(known, docs.select(*self.KEYS["documents"], F.col("first").alias("__first"), "times"), self.KEYS["documents"], n).withColumn("copy", F.col("__first") != F.col("doc_id"))
+        others = base.where(F.col("doc_id").isNull() | (F.col("n_words") < window)).withColumns({"__first": F.col("doc_id"), "copy": F.lit(False)})
+        state = keep(firsts.unionByName(others).drop("__first", "f1", "f2"), "state")
+        self.scratch.drop(base)
+        each = state.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window) & ~F.col("copy")).select(F.col("doc_id").alias("doc"), "row", F.explode("anchors").alias("anchor"))
+        one = F.struct("doc", "row")
+        own = each.groupBy("anchor").agg(F.min(one).alias("lo"), (F.min(one) < F.max(one)).alias("several"), F.count("*").alias("times"))
+        shared = self._add("anchors", own).where("several")
+        wanted = keep(attach(each, shared.select("anchor", "times"), ["anchor"], each.count(), "left_semi"), "wanted")
         texts = batch
         if history is not None:
-            wanted = wanted.unionByName(shared.where("old is not null and not was").select(F.col("old").alias("doc"), "anchor"))
-            texts = texts.unionByName(history.select("doc_id", "text"))
-        wanted = wanted.groupBy("doc").agg(F.collect_set("anchor").alias("wanted"))
-        texts = keep(texts.join(wanted, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "wanted"), "texts")
+            old = keep(shared.where("old is not null and not was").select("old.doc", "old.row", "anchor"), "old")
+            if not old.isEmpty():
+                texts = texts.unionByName(self._earlier(history, old))
+                wanted = wanted.unionByName(old)
+        wanted = wanted.groupBy(F.col("doc").alias("doc_id"), "row").agg(F.collect_set("anchor").alias("wanted"))
+        texts = keep(texts.join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "wanted"), "texts")
         found = keep(_windows(texts, window, self.anchor), "windows")
-        first = self._add("windows", found.groupBy("h1", "h2").agg(F.min("doc").alias("lo"), (F.min("doc") < F.max("doc")).alias("several")))
+        first = self._add("windows", found.groupBy("h1", "h2").agg(F.min("doc").alias("lo"), (F.min("doc") < F.max("doc")).alias("several"), F.count("*").alias("times")))
         # Only windows of several documents can be hits, and only in others than the first.
-        hits = found.join(first.where("several").select("h1", "h2", "first"), ["h1", "h2"]).where("first <> doc").groupBy("doc").agg(F.collect_set("at").alias("hits"))
-        cut = texts.select("doc_id", "text").join(hits, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "hits")
+        hits = attach(found, first.where("several").select("h1", "h2", "first", "times"), ["h1", "h2"], found.count()).where("first <> doc")
+        hits = hits.groupBy(F.col("doc").alias("doc_id"), "row").agg(F.collect_set("at").alias("hits"))
         if history is not None:
-            cut = cut.join(state.select("doc_id").distinct(), "doc_id", "left_semi")
-        cut = keep(_cut(cut, window, self.keep_text), "cut")
-        whole = state.where("not copy").join(cut.select("doc_id"), "doc_id", "left_anti")
+            hits = hits.join(state.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_semi")
+        cut = keep(_cut(texts.select("doc_id", "row", "text").join(hits, ["doc_id", "row"]).select("doc_id", "row", "text", "hits"), window, self.keep_text), "cut")
+        for done in (wanted, found, texts):
+            if hasattr(done, "scratch_path"):
+                self.scratch.drop(done)
+        whole = state.where("not copy").join(cut.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_anti")
         text = ["kept"] * self.keep_text
         nothing = {"n_removed": F.col("n_words"), "kept_sha256": F.sha2(F.lit(""), 256)} | {c: F.lit("") for c in text}
         cols = ["doc_id", "n_words", "n_removed", "kept_sha256", *text]
         gone = state.where("copy").withColumns(nothing).select(*cols)
         left = whole.withColumns({"n_removed": F.lit(0).cast("long"), "kept_sha256": F.col("whole")}).select(*cols)
-        return keep(left.unionByName(gone).unionByName(cut), "left")
+        out = keep(left.unionByName(gone).unionByName(cut.select(*cols)), "left")
+        self.scratch.drop(state)
+        self.scratch.drop(cut)
+        return out
 
     def close(self) -> None:
+        """Drops the runs; what ingest returned stays."""
         for names in self.runs.values():
             for n in names:
-                self.spark.sql(f"DROP TABLE IF EXISTS {n}")
+                self._forget(n)
         self.runs = {kind: [] for kind in self.KEYS}
 
 
 def dedup(docs: DataFrame, batches: int = BATCHES, window: int = WINDOW, anchor: int = ANCHOR, keep_text: bool = False) -> DataFrame:
-    """A whole table, ingested in batches of ascending doc_id (ranges of equal width; what they hold doesn't change the result)."""
+    """A whole table, ingested in batches of ascending doc_id. From the second on, a batch's range of ids is as wide as all before it together,
+    so that what is read of earlier texts adds up to less than the table, however many batches there are. They don't change the result."""
     docs = docs.select("doc_id", "text")
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     index = FingerprintIndex(docs.sparkSession, window, anchor, keep_text=keep_text)
-    if low is None:
-        return index.ingest(docs)
-    cuts = [low + (high - low + 1) * k // batches for k in range(batches + 1)]
-    out = None
-    for k in range(batches):
-        if cuts[k] < cuts[k + 1]:
-            own = docs.where((F.col("doc_id") >= cuts[k]) & (F.col("doc_id") < cuts[k + 1]))
-            if k == 0:
-                own = own.unionByName(docs.where("doc_id is null"))
-            done = index.ingest(own, docs.where(F.col("doc_id") < cuts[k]) if out is not None else None)
-            out = done if out is None else out.unionByName(done)
-    index.close()
-    return out
+    try:
+        if low is None:
+            return index.ingest(docs)
+        cuts = [low, *(low + ((high - low + 1) >> (batches - 1 - k)) for k in range(batches))]
+        out = None
+        for k in range(batches):
+            if cuts[k] < cuts[k + 1]:
+                own = docs.where((F.col("doc_id") >= cuts[k]) & (F.col("doc_id") < cuts[k + 1]))
+                if out is None:
+                    own = own.unionByName(docs.where("doc_id is null"))
+                done = index.ingest(own, docs.where(F.col("doc_id") < cuts[k]) if out is not None else None)
+                out = done if out is None else out.unionByName(done)
+        return out
+    finally:
+        index.close()
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,6 +65,45 @@ def test_substring_dedup_odd_rows(spark, empty):
     assert substring_dedup.dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("batches", [1, 3])
+def test_substring_dedup_repeated_ids(spark, corpus, batches):
+    """Rows of one id share windows with others, with each other, and repeat as they are."""
+    rng = random.Random(2)
+    rows = [(i // 3, t) for i, t in corpus] + [(i // 3, t) for i, t in corpus[:40]] + [(rng.choice(corpus)[0], t) for _, t in corpus if t][:30]
+    words = [f"w{i}" for i in range(200)]
+    t1, t2, t3 = " ".join(words[:60]), " ".join(words[:50] + ["x"] * 30), " ".join(f"y{i}" for i in range(80))
+    rows += [(1001, t1), (1005, t1), (1005, t2), (1007, t2 + " and more"), (1007, t3)]
+    want = sorted(dedup_rows(rows, 50), key=str)
+    got = substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), batches)
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()), key=str)
+    assert got == want
+    assert sorted(r[2] for r in got if r[0] > 1000) == [0, 0, 50, 60, 80]
+
+
+def dedup_rows(rows, window):
+    words = [(i, SPACE.findall(t or "")) for i, t in rows]
+    first = {}
+    for i, w in words:
+        for k in range(len(w) - window + 1):
+            g = tuple(w[k : k + window])
+            first[g] = min(first.get(g, i), i)
+    for i, w in words:
+        gone = {j for k in range(len(w) - window + 1) if first[tuple(w[k : k + window])] < i for j in range(k, k + window)}
+        yield i, len(w), len(gone), hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest()
+
+
+def test_attach_keeps_hot_keys_whole(spark, monkeypatch):
+    from changelake.llm import scratch as module
+
+    monkeypatch.setattr(module, "HOT_ROWS", 10)
+    rows = spark.range(1000).selectExpr("if(id < 400, 0, id % 300) as k", "id")
+    keyed = rows.groupBy("k").agg({"*": "count"}).withColumnRenamed("count(1)", "times").selectExpr("k", "k * 2 as v", "times")
+    got = {tuple(r) for r in module.attach(rows, keyed, ["k"], 1000).select("id", "k", "v").collect()}
+    assert got == {(i, k, 2 * k) for i in range(1000) for k in [0 if i < 400 else i % 300]}
+    some = keyed.where("k % 2 = 0").drop("v")
+    assert module.attach(rows, some, ["k"], 1000, "left_semi").count() == sum((0 if i < 400 else i % 300) % 2 == 0 for i in range(1000))
+
+
 def shingles(t, k=5):
     w = SPACE.findall((t or "").translate(LOWER))
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
