@@ -5,11 +5,12 @@ of an item; an item of fewer words, but not none, is one window. Document words
 suffix that occurs in some item; wherever that is as long as a window, the window's words are hit. A word that no item has resets the
 match, so only runs of known words, found by vectorised hashing, are walked.
 
-Items are cut into blocks of BLOCK_BYTES of text by hash of their id, with an automaton each (one, as a rule), so that what is broadcast
-stays bounded; documents pass through the blocks one after another.
+Items are cut into blocks of BLOCK_BYTES of text by hash of id and text, with an automaton each (one, as a rule). One pass over the
+documents takes PASS_BLOCKS of them, whose words are split and hashed once; a larger benchmark takes more passes, so that what is broadcast
+and held by a worker stays bounded.
 
-Rows: each input row gives one output row; null and empty texts have no words and no hits; items that are null or have no words have no
-windows; equal items all count; other columns pass through and columns named like the outputs are replaced; empty tables on either side
+Rows: each input row gives one output row; null and empty texts have no words and no hits; items whose text is null or has no words have no
+windows; equal items all count; items with a null id hit as others do, and are together one item, whose id is null in the list; other columns pass through and columns named like the outputs are replaced; empty tables on either side
 work.
 """
 
@@ -27,6 +28,7 @@ from . import textkit
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
+PASS_BLOCKS = 8
 
 HITS = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))])
 _HITS = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
@@ -35,7 +37,7 @@ _HITS = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("starts", pa
 class Automaton:
     """Suffix automaton of all items together; states are numbers, state 0 is the root."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
         words = textkit.Words(pa.array([t for _, t in items], pa.string()), textkit.ALNUM, lower=True)
         hashes = words.hashes()
         self.vocabulary = np.unique(hashes)
@@ -166,40 +168,48 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+def blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
     """The items in blocks of about block_bytes, collected one after another."""
-    items = items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    items = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // block_bytes))
     for k in range(n):
-        yield [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()]
+        yield [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
 
 
-def find_leaks(df: DataFrame, items: DataFrame, text_col: str = "text", out_col: str = "leaks", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _names(found: set[str | None]) -> list[str | None]:
+    return sorted(found, key=lambda x: (x is None, x or ""))
+
+
+def find_leaks(df: DataFrame, items: DataFrame, text_col: str = "text", out_col: str = "leaks", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, pass_blocks: int = PASS_BLOCKS) -> DataFrame:
     """Adds out_col: n_words, n_hit, the byte ranges [starts, ends) of hit passages in the text, and the ids of items with windows there."""
     out = df.drop(out_col)
     fields = out.schema.fields
-    for k, block in enumerate(blocks(items, item_id, item_text, block_bytes)):
-        shared = df.sparkSession.sparkContext.broadcast(Automaton(block, window))
+    held = [df.sparkSession.sparkContext.broadcast(Automaton(block, window)) for block in blocks(items, item_id, item_text, block_bytes)]
+    for first in range(0, len(held), pass_blocks):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, k: int = k) -> Iterator[pa.RecordBatch]:
-            automaton = shared.value
+        def run(batches: Iterator[pa.RecordBatch], shared=held[first : first + pass_blocks], again: bool = first > 0) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in textkit.pieces(batch, text_col):
                     words = textkit.Words(part.column(text_col), textkit.ALNUM, lower=True)
-                    found = automaton.find(words, words.hashes())
-                    prior = part.column(out_col) if k else None
+                    hashes = words.hashes()
+                    found = [x.value.find(words, hashes) for x in shared]
+                    prior = part.column(out_col) if again else None
                     rows = []
                     for i, n in enumerate(words.count.tolist()):
-                        spans, names = found.get(i, ((), set()))
+                        names: set[str | None] = set()
+                        ranges = []
                         base = int(words.offs[i])
-                        ranges = [(int(words.start[a]), int(words.end[b - 1])) for a, b in spans]
+                        for own in found:
+                            if i in own:
+                                ranges += [(int(words.start[a]), int(words.end[b - 1])) for a, b in own[i][0]]
+                                names |= own[i][1]
                         if prior is not None and (old := prior[i].as_py())["n_hit"]:
                             ranges += [(a + base, b + base) for a, b in zip(old["starts"], old["ends"], strict=True)]
-                            names = names | set(old["items"])
+                            names |= set(old["items"])
                         ranges = _merge(ranges)
                         hit = sum(int(np.searchsorted(words.start, b) - np.searchsorted(words.start, a)) for a, b in ranges)
-                        rows.append({"n_words": n, "n_hit": hit, "starts": [a - base for a, _ in ranges], "ends": [b - base for _, b in ranges], "items": sorted(names)})
+                        rows.append({"n_words": n, "n_hit": hit, "starts": [a - base for a, _ in ranges], "ends": [b - base for _, b in ranges], "items": _names(names)})
                     cols = [c for c, name in zip(part.columns, part.schema.names, strict=True) if name != out_col]
                     yield pa.RecordBatch.from_arrays([*cols, pa.array(rows, _HITS)], names=[*(x for x in part.schema.names if x != out_col), out_col])
 
