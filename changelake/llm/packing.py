@@ -5,7 +5,8 @@
 3. The driver packs these counts, longest first, each length into the open sequences with the least room that still holds it. Equal
    sequences are one group with a count, so the work depends on the number of lengths and not of documents.
 4. A piece's rank among those of its length is its salt's offset (counts by length and salt, summed up) plus its number within the salt;
-   the plan's rank ranges then give sequence and offset. Hot lengths are spread over `salts` partitions.
+   the plan's rank ranges then give sequence and offset. There is a salt for each SALT_ROWS pieces of the table, so that a length that most
+   pieces have is spread over as many tasks as its share asks for.
 
 Rows: each input row gives its pieces; a null text is an empty one, whose only token is the end mark; repeated rows and ids are packed
 each by itself (equal rows take neighbouring ranks); an empty table gives an empty plan and no rows; other columns are not read.
@@ -13,6 +14,7 @@ each by itself (equal rows take neighbouring ranks); an empty table gives an emp
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkit
-from .scratch import Scratch
+from .scratch import FEW, Scratch
 
 CAPACITY = 4096
-SALTS = 16
+#: Pieces for each salt; the pieces of one length and salt are ranked in one task.
+SALT_ROWS = 200_000
+LEAST_SALTS = 16
 #: Words whose ids a Python worker remembers; beyond that it starts afresh.
 CACHE_WORDS = 2_000_000
 
@@ -37,12 +41,41 @@ _SPLIT = np.ones(256, dtype=bool)
 _SPLIT[[10, 32]] = False
 
 
+#: How the vocabulary that Ids knows normalises and splits texts.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLITTER = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+
+
+def splits_at_words(path: str) -> bool:
+    """Whether a tokenizer file normalises and splits as Ids takes for granted, with special tokens that hold no white space only."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre = spec.get("pre_tokenizer") or {}
+    first = (pre.get("pretokenizers") or [{}])[0]
+    marked = all(t["special"] and not t["normalized"] and not any(t[x] for x in ("lstrip", "rstrip", "single_word")) and t["content"].startswith("<|") and not any(c.isspace() for c in t["content"]) for t in spec["added_tokens"])
+    return spec.get("normalizer") == _NORMALIZER and first == _SPLITTER and spec.get("post_processor") is None and marked
+
+
+class WholeTexts:
+    """Token ids of texts, each encoded as a whole: for any tokenizer file."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.encode = Tokenizer.from_file(path).encode_batch
+
+    def of(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        rows = [e.ids for e in self.encode([t or "" for t in col.to_pylist()], add_special_tokens=False)]
+        return np.array([x for r in rows for x in r], np.uint32), np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int64)
+
+
 class Ids:
     """Token ids of texts by way of their words, of which each is encoded once.
 
     The vocabulary drops white space and no token or normalisation crosses a space or line feed, so a text's ids are those of its words;
     nor does one cross from a letter or digit to the marks behind it, and ASCII capitals count as small letters, so that most new words
-    need no encoding of their own either. Words are known by a 64-bit hash: a sorted array of hashes, and where each one's ids are.
+    need no encoding of their own either. Words are known by a 64-bit hash: sorted arrays of hashes, each at least twice as long as the next,
+    and where each one's ids are.
     """
 
     def __init__(self, path: str):
@@ -52,15 +85,33 @@ class Ids:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-
-    def _at(self, h: np.ndarray) -> np.ndarray:
-        """Places of hashes; -1: unknown."""
-        if not len(self.keys):
-            return np.full(len(h), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where(self.keys[at] == h, at, -1)
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # hashes, starts, sizes
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and sizes of the ids of hashes; start -1: unknown."""
+        start, size = np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64)
+        for keys, starts, sizes in self.levels:
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            same = keys[at] == h
+            start[same], size[same] = starts[at[same]], sizes[at[same]]
+        return start, size
+
+    def _keep(self, keys: np.ndarray, rows: list[list[int]]) -> None:
+        size = np.array([len(r) for r in rows], np.int64)
+        start = self.used + np.cumsum(size) - size
+        flat = np.array([x for r in rows for x in r], np.uint32)
+        if self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(flat), self.used), np.uint32)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        level = (keys, start, size)
+        while self.levels and len(self.levels[-1][0]) < 2 * len(level[0]):
+            old = self.levels.pop()
+            merged = [np.concatenate([a, b]) for a, b in zip(old, level, strict=True)]
+            order = np.argsort(merged[0], kind="stable")
+            level = tuple(x[order] for x in merged)
+        self.levels.append(level)
 
     def _learn(self, words: list[str], hashes: np.ndarray) -> None:
         halves = []
@@ -70,41 +121,36 @@ class Ids:
             halves.append((head.lower() if head.isascii() else head, tail))
         parts = sorted({x for pair in halves for x in pair if x})
         own = textkit.Words(pa.array(parts, pa.string()), _SPLIT).hashes()
-        at = self._at(own)
-        ids = {x: self.pool[self.start[k] : self.start[k] + self.size[k]].tolist() if k >= 0 else self.encode(x, add_special_tokens=False).ids for x, k in zip(parts, at.tolist(), strict=True)}
+        start, size = self._find(own)
+        ids = {x: self.pool[k : k + n].tolist() if k >= 0 else self.encode(x, add_special_tokens=False).ids for x, k, n in zip(parts, start.tolist(), size.tolist(), strict=True)}
         ids[""] = []
-        new = at < 0
+        new = start < 0
         keys = np.concatenate([hashes, own[new]])
         rows = [ids[a] + ids[b] for a, b in halves] + [ids[x] for x, n in zip(parts, new.tolist(), strict=True) if n]
         keys, first = np.unique(keys, return_index=True)
-        rows = [rows[k] for k in first.tolist()]
-        size = np.array([len(r) for r in rows], np.int64)
-        start = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate([self.pool, np.array([x for r in rows for x in r], np.uint32)])
-        where = np.searchsorted(self.keys, keys)
-        self.keys, self.start, self.size = np.insert(self.keys, where, keys), np.insert(self.start, where, start), np.insert(self.size, where, size)
+        self._keep(keys, [rows[k] for k in first.tolist()])
 
     def of(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one behind the other, and len + 1 offsets."""
         words = textkit.Words(col, _SPLIT)
         known, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        at = self._at(known)
-        if (at < 0).any():
-            if len(self.keys) > CACHE_WORDS:
+        start, size = self._find(known)
+        if (start < 0).any():
+            if sum(len(keys) for keys, _, _ in self.levels) > CACHE_WORDS:
                 self._reset()
-                at[:] = -1
-            new = first[at < 0]
-            self._learn([words.raw[a:b].tobytes().decode() for a, b in zip(words.start[new].tolist(), words.end[new].tolist(), strict=True)], known[at < 0])
-            at = self._at(known)
-        at = at[inverse]
-        size = self.size[at]
+                start[:] = -1
+            unknown = start < 0
+            new = first[unknown]
+            self._learn([words.raw[a:b].tobytes().decode() for a, b in zip(words.start[new].tolist(), words.end[new].tolist(), strict=True)], known[unknown])
+            start, size = self._find(known)
+        start, size = start[inverse], size[inverse]
         behind = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
-        return self.pool[np.repeat(self.start[at] - behind[:-1], size) + np.arange(behind[-1])], behind[words.first]
+        return self.pool[np.repeat(start - behind[:-1], size) + np.arange(behind[-1])], behind[words.first]
 
 
 @lru_cache(maxsize=2)
-def _ids(path: str) -> Ids:
-    return Ids(path)
+def _ids(path: str) -> Ids | WholeTexts:
+    return Ids(path) if splits_at_words(path) else WholeTexts(path)
 
 
 def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = 1, keep_ids: bool = False) -> DataFrame:
@@ -177,21 +223,25 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return rows
 
 
-def pack(cut: DataFrame, scratch: Scratch, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def pack(cut: DataFrame, scratch: Scratch, capacity: int = CAPACITY, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, length, ...)."""
     spark = cut.sparkSession
-    cut = scratch.table(cut.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")), "pieces")
-    counts = cut.groupBy("length", "__salt").agg(F.count("*").alias("n"))
-    counts = scratch.table(counts, "counts")
+    cut = scratch.table(cut, "pieces")
+    salts = max(LEAST_SALTS, -(-cut.count() // salt_rows))
+    salted = cut.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+    counts = scratch.table(salted.groupBy("length", "__salt").agg(F.count("*").alias("n")), "counts")
     histogram = {int(r[0]): int(r[1]) for r in counts.groupBy("length").agg(F.sum("n")).collect()}  # at most `capacity` rows
-    schema = "length long, rank0 long, ranks long, each long, sequence0 long, offset0 long"
-    slots = spark.createDataFrame(plan(histogram, capacity), schema)
-    before = counts.withColumn("__before", F.sum("n").over(Window.partitionBy("length").orderBy("__salt")) - F.col("n")).select("length", "__salt", "__before")  # at most capacity x salts rows
+    rows = plan(histogram, capacity)
+    slots = spark.createDataFrame(rows, "length long, rank0 long, ranks long, each long, sequence0 long, offset0 long")
+    slots = F.broadcast(slots) if len(rows) <= FEW else slots
+    before = counts.withColumn("__before", F.sum("n").over(Window.partitionBy("length").orderBy("__salt")) - F.col("n")).select("length", "__salt", "__before")
+    # Partitioned like the ranks, so that beyond the size of a broadcast, this join moves no piece again.
+    before = F.broadcast(before) if salts * len(histogram) <= FEW else before
     own = F.row_number().over(Window.partitionBy("length", "__salt").orderBy("doc_id", "piece"))
-    ranked = cut.withColumn("__own", own).join(F.broadcast(before), ["length", "__salt"]).withColumn("__rank", F.col("__own") - 1 + F.col("__before"))
+    ranked = salted.withColumn("__own", own).join(before, ["length", "__salt"]).withColumn("__rank", F.col("__own") - 1 + F.col("__before"))
     slot = F.col("__rank") - F.col("rank0")
-    taken = ranked.join(F.broadcast(slots), (ranked["length"] == slots["length"]) & (F.col("__rank") >= F.col("rank0")) & (F.col("__rank") < F.col("rank0") + F.col("ranks"))).drop(slots["length"])
-    return taken.withColumns({"sequence_id": F.col("sequence0") + F.floor(slot / F.col("each")), "offset": F.col("offset0") + slot % F.col("each") * F.col("length")}).select(*[c for c in cut.columns if c != "__salt"], "sequence_id", "offset")
+    taken = ranked.join(slots, (ranked["length"] == slots["length"]) & (F.col("__rank") >= F.col("rank0")) & (F.col("__rank") < F.col("rank0") + F.col("ranks"))).drop(slots["length"])
+    return taken.withColumns({"sequence_id": F.col("sequence0") + F.floor(slot / F.col("each")), "offset": F.col("offset0") + slot % F.col("each") * F.col("length")}).select(*cut.columns, "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -30,6 +30,40 @@ def test_ids_equal_whole_encoding(tokenizer):
         assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_other_vocabularies_encode_whole_texts(tmp_path):
+    import json
+
+    path = packing.vocabulary()
+    assert packing.splits_at_words(path)
+    spec = json.load(open(path))
+    spec["normalizer"] = {"type": "NFC"}
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec))
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(str(other))
+    texts = ["The CAT sat", "a  b\n\nC", None, ""]
+    flat, at = packing._ids(str(other)).of(pa.array(texts, pa.string()))
+    assert not packing.splits_at_words(str(other))
+    assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_pack_salts_grow_with_the_table(spark):
+    """One length holds all rows: with a salt for each 50 rows, ranks still fill their sequences without gaps."""
+    rows = spark.range(3000).selectExpr("id as doc_id", "0 as piece", "if(id % 100 = 0, 3, 7) as length", "id as ids_crc32").selectExpr("doc_id", "piece", "cast(length as long) as length", "ids_crc32")
+    got = packing.pack(rows, Scratch(spark, "t"), capacity=16, salt_rows=50).collect()
+    used = defaultdict(dict)
+    for r in got:
+        used[r["sequence_id"]][r["offset"]] = r["length"]
+    assert len(got) == 3000 and sum(map(len, used.values())) == 3000
+    for slots in used.values():
+        at = 0
+        for offset in sorted(slots):
+            assert offset == at
+            at += slots[offset]
+        assert at <= 16
+
+
 def best_fit(lengths, capacity):
     rooms = []
     for x in lengths:
