@@ -294,3 +294,60 @@ def test_samples_are_bounded_at_every_size(spark):
     assert {r["lang"]: r["count"] for r in two.groupBy("lang").count().collect()} == {"a": 250, "b": 250}
     first = sampling.bounded_sample(df.repartition(7), ["doc_id", "text"], 40)
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, sampling.bounded_sample(df.coalesce(1), ["doc_id", "text"], 40).collect()))
+
+
+LONG = "The river rose in the night, and by morning the lower fields were under water, as they had been every spring that anyone could remember."
+NEXT = "Nobody was surprised; the boats had been ready since the first warm days, and the cattle stood on the hill behind the church."
+SIDE = "Other things that we wrote this week, which you may like to read as well, if there is time."
+LAYOUTS = {
+    "bare body": f"<body><ul><li><a href=a>Home</a><li><a href=b>News</a></ul><h1>High water</h1><p>{LONG}<p>{NEXT}<p>&copy; 2020 The Paper. All rights reserved.</body>",
+    "main": f"<header><a href=/>The Paper</a></header><main><h1>High water</h1><p>{LONG}</p><p>{NEXT}</p></main><footer>The Paper, Mill Lane 4</footer>",
+    "article header": f"<article><header><h1>High water</h1></header><p>{LONG}</p><p>{NEXT}</p><footer>Tags: <a href=x>water</a></footer></article>",
+    "divs": f'<div class="top-nav"><a href=a>Home</a> <a href=b>News</a></div><div id="content"><h1>High water</h1><div>{LONG}</div><div>{NEXT}</div></div><div id="sidebar"><p>{SIDE}</p></div>',
+    "blog": f'<div class="post"><h2>High water</h2><div class="entry-content"><p>{LONG}</p><p>{NEXT}</p></div></div><div class="comments-area"><ol class="comment-list"><li>{SIDE}</li></ol></div>',
+    "tables": f'<table><tr><td class="menu"><a href=a>Home</a><br><a href=b>News</a></td><td><h1>High water</h1><p>{LONG}</p><p>{NEXT}</p></td></tr></table><p>&copy; 2020</p>',
+    "names that mislead": f'<article><h1>High water</h1><div class="social-story"><p>{LONG}</p></div><p class="legal-post">{NEXT}</p></article><div class="story-sidebar"><p>{SIDE}</p></div>',
+    "advert inside": f'<article><h1>High water</h1><p>{LONG}</p><div class="ad-container"><p>{SIDE}</p></div><div class="newsletter-signup"><p>{SIDE}</p></div><p>{NEXT}</p></article>',
+    "roles": f'<div role="banner">The Paper</div><div role="navigation"><a href=a>Home</a></div><div role="main"><h1>High water</h1><p>{LONG}</p><p>{NEXT}</p></div><div role="contentinfo">{SIDE}</div>',
+    "hidden and forms": f'<div hidden>{SIDE}</div><section class="story"><h1>High water</h1><p>{LONG}</p><form><label>Your mail</label><textarea>{SIDE}</textarea><select><option>{SIDE}</select></form><p>{NEXT}</p></section>',
+    "links in prose": f'<nav><a href=a>Home</a></nav><article><h1>High water</h1><p>{LONG.replace("lower fields", "<a href=f>lower fields</a>")}</p><p>{NEXT.replace("boats", "<i>boats</i>")}</p></article><aside><p>{SIDE}</p></aside>',
+    "unclosed": f'<article><h1>High water<p>{LONG}<p>{NEXT}</article><div class=cookie-banner>{SIDE}',
+}
+
+
+@pytest.mark.parametrize("name", sorted(LAYOUTS))
+def test_html_layouts(name):
+    assert html_extract.main_text(f"<!DOCTYPE html><html><head><title>High water - The Paper</title></head>{LAYOUTS[name]}</html>").split("\n") == ["High water", LONG, NEXT]
+
+
+def test_html_classifier_on_pages_it_has_not_seen():
+    from changelake.llm import layouts
+
+    wrong = blocks = 0
+    for page, content in layouts.pages(150, seed=99):
+        got = html_extract.main_text(page).split("\n")
+        wrong += len(set(got) ^ set(content))
+        blocks += len(html_extract.blocks(page))
+    assert wrong <= 0.005 * blocks
+
+
+def test_html_keeps_formulas_and_reads_broken_quotes():
+    page = f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and <svg><text>a drawing</text></svg><object>a fallback</object>.</p><p>Is 3 < 4? {NEXT}</p></article>"
+    assert html_extract.main_text(page).split("\n") == [f"{LONG} x=2 and a drawinga fallback.", f"Is 3 < 4? {NEXT}"]
+    assert html_extract.main_text(f'<article><p title="it\'s">{LONG}</p><p "title=x>{NEXT}</p></article>') == f"{LONG}\n{NEXT}"
+    assert html_extract.main_text(f'<article><p>{LONG}</p><p title="open>{NEXT}</p></article>') == f"{LONG}\n{NEXT}"
+
+
+def test_html_in_linear_time():
+    import time
+
+    def took(page):
+        began = time.perf_counter()
+        html_extract.main_text(page)
+        return time.perf_counter() - began
+
+    html_extract.classifier()
+    for bad in ('<p "', "<a ", '<p a=">"', "<", '<p a="', "<p a='\">", "</p>", "<div>", "<!-", "</", "<p =' \"", "<td><b>"):
+        n = (1 << 20) // len(bad)
+        assert took(bad * n) < 12 * max(0.15, took(bad * (n // 8))), bad
+    assert took('<p "' * (1 << 18)) < 1
