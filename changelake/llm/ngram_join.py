@@ -9,14 +9,18 @@ shingles, so up to |x| - T inverted lists may be left unread: DivideSkip merges
    partial sums; lists of one are dropped. Below the bound of the largest set that could link with a document, whatever no other document
    posts no partner has, so a document with u such shingles need merge u lists fewer. Beyond that bound, a partner may have shingles
    that it doesn't post: these count as sharable.
-3. Stars: each class is paired with the first document of its lists, the one it meets most often, and probed exactly. Links so found give
-   components, so that a group of thousands of near copies is one component after about as many probes as it has members.
-4. Lists that meet more than `heavy` components are the long ones. They go last in the order of shingles, for all documents alike: a
-   document's merged lists are the first |x| - T + 1 of its others that meet two components. In these, members of different components
-   are paired, occurrences are summed (the merge), and pairs whose occurrences and unread lists can't reach the overlap drop out.
-5. The rest is probed exactly: whole texts of both, binary search of one sorted set in the other. No pair of different sets whose
-   documents aren't already connected is left out, and there is no cap on lists, partners or candidates.
-6. Documents whose posted lists held too few short ones post all their lists, which are counted in turn, before step 4 ends. Documents
+3. A first search reads only the head of each list, its least document: each class merges the heads of its lists, and the document that
+   occurs most often is probed. Links so found give components, so that a group of thousands of near copies is one component after about as
+   many probes as it has members.
+4. A list's entries are from now on the components that it meets, each with its members in blocks of BLOCK at most. Lists that meet more than
+   `heavy` components are the long ones. They go last in the order of shingles, for all documents alike: a document's merged lists are the
+   first |x| - T + 1 of its others that meet two components.
+5. Each document gets the blocks of its merged lists that could hold a partner by size, and merges them: the sorted lists are the runs of a
+   stable merge sort, equal entries are counted, and documents whose occurrences and unread lists can't reach the overlap T drop out.
+6. The rest is probed in the lists left unread, by binary search: the sorted shingles of both, as arrays, one searched in the other. (A list
+   is probed for a document through the document's sorted shingles, which answers the same question and moves no list.) No pair of different
+   sets whose documents aren't already connected is left out, and there is no cap on lists, partners or candidates.
+7. Documents whose posted lists held too few short ones post all their lists, which are counted in turn, before step 4 ends. Documents
    that still have fewer short lists than must be merged could share only long ones and such as a partner doesn't post, and only with
    each other: all of their lists are joined among themselves with a limit four times as large, and so on until none is left.
 
@@ -30,17 +34,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit
 from .graph import components
-from .scratch import Scratch, among
+from .scratch import Scratch, among, attach
 
 WORDS = 5
 PERCENT = 80
 HEAVY = 32
 SALTS = 32
+#: Members of a component in one block of a list, about.
+BLOCK = 512
 #: Sets of so many shingles or fewer are posted whole.
 SMALL = 128
 
@@ -95,43 +101,89 @@ def _sets(docs: DataFrame, k: int, percent: int, whole: bool = False) -> DataFra
     return textkit.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, n long, p long, f1 long, f2 long, sure long, tokens array<long>")
 
 
-def _need(percent: int, n1: Column, n2: Column) -> Column:
-    """Least overlap of linked sets: ceil(percent (n1 + n2) / (100 + percent))."""
-    return F.floor((F.lit(percent) * (n1 + n2) + F.lit(99 + percent)) / F.lit(100 + percent))
+def probe(pairs: DataFrame, sets: DataFrame, percent: int, salts: int = SALTS) -> DataFrame:
+    """The links (a, b) among pairs (a, b), by binary search between the sorted shingles of both (doc, tokens: all of them).
 
-
-def probe(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch, salts: int = SALTS) -> DataFrame:
-    """The links (a, b) among pairs (a, b), from both whole texts. A document a with many partners is spread over `salts` tasks."""
-    pairs = scratch.table(pairs, "pairs")  # so that the shuffles that made them are gone when texts are shuffled
-    ids = scratch.table(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    text = among(docs.select(F.col("doc_id").alias("id"), "text"), ids, "id")
+    A document a with many partners is spread over `salts` tasks.
+    """
+    text = sets.select(F.col("doc").alias("id"), "tokens")
     pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(salts)).alias("s"))
-    held = pairs.select("a", "s").distinct().join(text, F.col("a") == F.col("id")).select("a", "s", F.lit(0).alias("kind"), F.col("a").alias("b"), "text")
-    asked = pairs.join(text, F.col("b") == F.col("id")).select("a", "s", F.lit(1).alias("kind"), "b", "text")
+    held = pairs.select("a", "s").distinct().join(text, F.col("a") == F.col("id")).select("a", "s", F.lit(0).alias("kind"), F.col("a").alias("b"), "tokens")
+    asked = pairs.join(text, F.col("b") == F.col("id")).select("a", "s", F.lit(1).alias("kind"), "b", "tokens")
     rows = held.unionByName(asked).repartition("a", "s").sortWithinPartitions("a", "s", "kind", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = None, []
         for batch in batches:
-            for part in textkit.pieces(batch, "text"):
-                a, s, kind, b = (part.column(i).to_pylist() for i in range(4))
-                left, right = [], []
-                for i, got in enumerate(shingle_sets(part.column("text"), k)):
-                    if key != (a[i], s[i]):
-                        key, own = (a[i], s[i]), []
-                    if kind[i] == 0:
-                        own.append(got)
+            a, s, kind, b = (batch.column(i).to_pylist() for i in range(4))
+            first = np.asarray(batch.column("tokens").offsets)
+            flat = np.asarray(batch.column("tokens").values)
+            left, right = [], []
+            for i in range(len(a)):
+                got = flat[first[i] : first[i + 1]]
+                if key != (a[i], s[i]):
+                    key, own = (a[i], s[i]), []
+                if kind[i] == 0:
+                    own.append(got.copy())
+                    continue
+                for other in own:
+                    few, many = (got, other) if len(got) <= len(other) else (other, got)
+                    if not len(few):
                         continue
-                    for other in own:
-                        few, many = (got, other) if len(got) <= len(other) else (other, got)
-                        if not len(few):
-                            continue
-                        both = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
-                        if 100 * both >= percent * (len(few) + len(many) - both):
-                            left.append(a[i])
-                            right.append(b[i])
-                            break
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                    both = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+                    if 100 * both >= percent * (len(few) + len(many) - both):
+                        left.append(a[i])
+                        right.append(b[i])
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return textkit.map_arrow(rows, run, "a long, b long")
+
+
+_MEMBER = ("doc", "n", "s", "cut", "unread")
+
+
+def merge(rows: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) from rows (the _MEMBER columns of a document, members: a block of a list that it merges).
+
+    The blocks of a document are merged, equal entries counted; an entry stays if the occurrences, and the lists that only one of both left
+    unread, can reach the overlap. All lists up to the smaller cut are merged for both, so only that document's unread lists can add.
+    """
+    rows = rows.repartition("doc").sortWithinPartitions("doc")
+    shares = 1 + 100 / percent + 1e-9
+
+    def candidates(part: pa.RecordBatch) -> pa.RecordBatch:
+        members = part.column("members")
+        entry = {c: np.asarray(x) for c, x in zip(_MEMBER, members.flatten().flatten(), strict=True)}
+        size = np.asarray(members.value_lengths())
+        own = {c: np.repeat(np.asarray(part.column(c)), size) for c in _MEMBER}
+        order = np.lexsort((entry["doc"], own["doc"]))  # stable: the sorted blocks are its runs
+        x, y = own["doc"][order], entry["doc"][order]
+        first = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))) if len(x) else np.zeros(0, np.int64)
+        times = np.diff(np.append(first, len(x)))
+        at = order[first]
+        p, q = ({c: side[c][at] for c in _MEMBER} for side in (own, entry))
+        need = (percent * (p["n"] + q["n"]) + 99 + percent) // (100 + percent)
+        fits = (100 * p["n"] >= percent * q["n"]) & (100 * q["n"] >= percent * p["n"]) & (np.minimum(p["s"], q["s"]) >= need)
+        fits &= p["n"] / p["s"] + q["n"] / q["s"] <= shares
+        unread = np.where(p["cut"] < q["cut"], p["unread"], np.where(p["cut"] > q["cut"], q["unread"], np.minimum(p["unread"], q["unread"])))
+        fits &= times + unread >= need
+        a, b = p["doc"][fits], q["doc"][fits]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the blocks of the last document, whose others may be in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            doc = np.asarray(batch.column("doc"))
+            begin = int(np.searchsorted(doc, doc[-1]))
+            if begin or (held and held[0].column("doc")[0].as_py() != doc[0]):
+                yield candidates(pa.concat_batches([*held, batch.slice(0, begin)]))
+                held = []
+            held.append(batch.slice(begin))
+        if held:
+            yield candidates(pa.concat_batches(held))
 
     return textkit.map_arrow(rows, run, "a long, b long")
 
@@ -147,8 +199,10 @@ class Join:
         """(doc_id, n, rep) for every row with an id and a set, and the postings of the representatives."""
         keep = self.scratch.table
         sets = keep(_sets(self.docs.where("doc_id is not null"), self.k, self.percent), "sets")
-        least = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
-        members = keep(sets.select("doc_id", "n", "f1", "f2").join(least, ["f1", "f2", "n"], "left").select("doc_id", "n", "rep"), "members")
+        full = sets.where("n > 0").select("doc_id", "n", "f1", "f2")
+        least = keep(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("times")), "least")
+        none = sets.where("n = 0").select("doc_id", "n", F.lit(None).cast("long").alias("rep"))
+        members = keep(attach(full, least, ["f1", "f2", "n"], sets.count()).select("doc_id", "n", "rep").unionByName(none), "members")
         reps = members.where("doc_id = rep").select("doc_id", "n").distinct()
         postings = keep(sets.join(reps, ["doc_id", "n"], "left_semi").select(F.col("doc_id").alias("doc"), "n", "p", "sure", "tokens"), "postings")
         self.scratch.drop(sets)
@@ -160,8 +214,8 @@ class Join:
         lists = self.scratch.table(each.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("first")).where("c > 1").select("token", "first"), "lists")
         return self.scratch.table(each.join(lists, "token"), "shared")
 
-    def stars(self, postings: DataFrame, shared: DataFrame) -> DataFrame:
-        """Links between a document and the first document of its lists that it meets most often, if that is in two fifths of them."""
+    def heads(self, postings: DataFrame, shared: DataFrame) -> DataFrame:
+        """Links between a document and the head of its lists that occurs most often, if that is in two fifths of those it must merge."""
         met = shared.where("first <> doc").groupBy("doc", "first").agg(F.count("*").alias("m")).join(self._sizes(postings), "doc").where("5 * m >= 2 * p")
         best = met.groupBy("doc").agg(F.max_by("first", F.struct("m", -F.col("first"))).alias("a"))
         return self.probed(best.select("a", F.col("doc").alias("b")))
@@ -175,14 +229,21 @@ class Join:
         return postings.select("doc", "n", "p", "sure", F.size("tokens").alias("held"))
 
     def probed(self, pairs: DataFrame) -> DataFrame:
-        return probe(pairs, self.docs, self.k, self.percent, self.scratch)
+        keep = self.scratch.table
+        pairs = keep(pairs, "pairs")
+        ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
+        sets = keep(self._whole(ids).select("doc", "tokens"), "sets")
+        found = keep(probe(pairs, sets, self.percent), "found")
+        self.scratch.drop(pairs)
+        self.scratch.drop(sets)
+        return found
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Members as classes() gives them, and links (a, b) between representatives that connect whatever is connected."""
         keep = self.scratch.table
         members, postings = self.classes()
         shared = self.shared(postings)
-        found = keep(self.stars(postings, shared), "links")
+        found = keep(self.heads(postings, shared), "links")
         return members, keep(self.rest(postings, shared, found, self.heavy), "links")
 
     def rest(self, postings: DataFrame, shared: DataFrame, found: DataFrame, heavy: int) -> DataFrame:
@@ -194,7 +255,7 @@ class Join:
         sizes = keep(self._sizes(postings), "sizes")
         whole: list[DataFrame] = []
         while True:
-            met = keep(own.groupBy("token", "comp").agg(F.lit(1)).groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "met")
+            met = keep(own.groupBy("token", "comp").agg(F.count("*").alias("m")).groupBy("token").agg(F.count("*").alias("c"), F.sum("m").alias("size")).where("c > 1"), "met")
             rows = own.join(met, "token")
             # What a document can share with another component (s), and of how many of those lists, short ones first, one must be shared (q).
             able = rows.groupBy("doc").agg(F.count_if("safe").alias("met"), F.count_if(F.col("c") <= heavy).alias("short"))
@@ -223,36 +284,19 @@ class Join:
         """Pairs (a, b) of different components that occur together in merged lists often enough to reach the overlap.
 
         A document merges its first q short lists. Both documents' bounds s hold for a pair, so that n / s of one and of the other add up to
-        1 + 100 / percent at most.
+        1 + 100 / percent at most. Of two components, the members of the one with the greater number get the other's blocks.
         """
-        pct = self.percent
-        rows = own.join(met.where(F.col("c") <= heavy).select("token"), "token", "left_semi").join(ends.select("doc", "n", "s", "q"), "doc")
+        rows = own.join(met.where(F.col("c") <= heavy).select("token", "size"), "token").join(ends.select("doc", "n", "s", "q"), "doc")
         of_doc = Window.partitionBy("doc")
         rows = rows.withColumn("k", F.row_number().over(of_doc.orderBy("rank"))).where("k <= q")
         # Beyond its last merged list, a document has only unread ones.
-        rows = rows.select("token", "doc", "comp", "n", "s", F.max("token").over(of_doc).alias("cut"), (F.col("s") - F.count("*").over(of_doc)).alias("unread"))
+        rows = rows.select("token", "size", "doc", "comp", "n", "s", F.max("token").over(of_doc).alias("cut"), (F.col("s") - F.count("*").over(of_doc)).alias("unread"))
         rows = self.scratch.table(rows, "merged")
-        groups = rows.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min(F.col("n") / F.col("s")).alias("share"), F.count("*").alias("size"))
-        x, y = (groups.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("comp", "least", "most", "share", "size")]) for s in "xy")
-        fits = (F.lit(100) * F.col("most_x") >= F.lit(pct) * F.col("least_y")) & (F.lit(100) * F.col("most_y") >= F.lit(pct) * F.col("least_x"))
-        most_shares = 1 + 100 / pct + 1e-9
-        fits = fits & (F.col("share_x") + F.col("share_y") <= F.lit(most_shares))
-        smaller = (F.col("size_x") < F.col("size_y")) | ((F.col("size_x") == F.col("size_y")) & (F.col("comp_x") < F.col("comp_y")))  # its members are joined first
-        both = x.join(y, "token").where((F.col("comp_x") != F.col("comp_y")) & smaller).where(fits).select("token", "comp_x", "comp_y", F.col("least_x").alias("lx"), F.col("most_x").alias("mx"), F.col("share_x").alias("sx"), F.col("least_y").alias("ly"), F.col("most_y").alias("my"), F.col("share_y").alias("sy"))
-        x, y = (rows.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("comp", "doc", "n", "s", "cut", "unread")]) for s in "xy")
-        need = _need(pct, F.col("n_x"), F.col("n_y"))
-        fits = (F.lit(100) * F.col("n_x") >= F.lit(pct) * F.col("n_y")) & (F.lit(100) * F.col("n_y") >= F.lit(pct) * F.col("n_x")) & (F.least("s_x", "s_y") >= need) & (F.col("n_x") / F.col("s_x") + F.col("n_y") / F.col("s_y") <= F.lit(most_shares))
-
-        def able_to(s: str, least: str, most: str, share: str) -> Column:
-            """Whether a member can link with any of the other component."""
-            n = F.col(f"n_{s}")
-            return (F.lit(100) * F.col(most) >= F.lit(pct) * n) & (F.lit(100) * n >= F.lit(pct) * F.col(least)) & (n / F.col(f"s_{s}") + F.col(share) <= F.lit(most_shares))
-
-        both = both.join(x, ["token", "comp_x"]).where(able_to("x", "ly", "my", "sy")).join(y, ["token", "comp_y"]).where(fits & able_to("y", "lx", "mx", "sx"))
-        # All lists up to the smaller cut are merged for both, so only that document's unread lists can add to the occurrences.
-        unread = F.when(F.col("cut_x") < F.col("cut_y"), F.col("unread_x")).when(F.col("cut_x") > F.col("cut_y"), F.col("unread_y")).otherwise(F.least("unread_x", "unread_y"))
-        often = both.groupBy(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b"), need.alias("need"), unread.alias("unread")).agg(F.count("*").alias("m"))
-        return often.where(F.col("m") + F.col("unread") >= F.col("need")).select("a", "b")
+        block = F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / BLOCK))
+        lists = rows.groupBy("token", F.col("comp").alias("other"), block.alias("block")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min(F.col("n") / F.col("s")).alias("share"), F.sort_array(F.collect_list(F.struct(*_MEMBER))).alias("members"))
+        pct, n = F.lit(self.percent), F.col("n")
+        fits = (F.lit(100) * F.col("most") >= pct * n) & (F.lit(100) * n >= pct * F.col("least")) & (n / F.col("s") + F.col("share") <= F.lit(1 + 100 / self.percent + 1e-9))
+        return merge(rows.join(lists, "token").where((F.col("other") < F.col("comp")) & fits).select(*_MEMBER, "members"), self.percent)
 
     def _with_components(self, rows: DataFrame, comp: DataFrame) -> DataFrame:
         return rows.join(comp, rows["doc"] == comp["node"], "left").select("token", "doc", "rank", "safe", F.coalesce("component", "doc").alias("comp"))

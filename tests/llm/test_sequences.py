@@ -129,8 +129,9 @@ def groups_brute(rows, percent=80):
 
 
 @pytest.mark.parametrize("heavy", [1, 2, 32])
-def test_ngram_join(docs, corpus, heavy):
+def test_ngram_join(docs, corpus, heavy, monkeypatch):
     """With low limits, nearly all lists are long, and every path is taken."""
+    monkeypatch.setattr(ngram_join, "BLOCK", heavy)
     got = ngram_join.near_duplicates(docs, heavy=heavy)
     assert {tuple(r) for r in got.collect()} == groups_brute(corpus)
 
