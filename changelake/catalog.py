@@ -7,7 +7,7 @@ the order of rows.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +18,10 @@ from .functions import types as kinds
 from .functions.tablefilter import TableFilter
 from .model import DELETE, INSERT, UPDATE
 from .operators import batching, decode, merge, snapshot, state
+from .operators.order import minute
 from .plans import registry
 from .plans.ddl import parse
+from .shared import shared_dir
 from .sources import discovery
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,7 +271,7 @@ def upsert_counts(spark, sf_dir):
 
 @query("SELECT tbl, CAST(floor((rn - 1) / 500) AS BIGINT) AS batch_no, count(*) AS n FROM (SELECT tbl, row_number() OVER (PARTITION BY tbl ORDER BY ts, event_id) AS rn FROM cdc) GROUP BY ALL", cdc=True)
 def count_batches(spark, sf_dir):
-    return batching.count_batches(cdc(spark, sf_dir), "tbl", VERSION, 500).groupBy("tbl", "batch_no").agg(F.count("*").alias("n"))
+    return batching.count_batches(cdc(spark, sf_dir), "tbl", VERSION, 500, minute("ts", 3600)).groupBy("tbl", "batch_no").agg(F.count("*").alias("n"))
 
 
 @query("SELECT time_bucket(INTERVAL '1 hour', ts) AS batch_start, count(*) AS n FROM events GROUP BY 1")
@@ -279,7 +281,7 @@ def time_batches(spark, sf_dir):
 
 @query("SELECT event_id, tbl, row_number() OVER (PARTITION BY tbl ORDER BY ts, event_id) AS seq FROM cdc", cdc=True)
 def fifo_order(spark, sf_dir):
-    return batching.fifo(cdc(spark, sf_dir), "tbl", VERSION).select("event_id", "tbl", "seq")
+    return batching.fifo(cdc(spark, sf_dir), "tbl", VERSION, minute("ts", 3600)).select("event_id", "tbl", "seq")
 
 
 @query(
@@ -287,7 +289,7 @@ def fifo_order(spark, sf_dir):
     cdc=True,
 )
 def ddl_segments(spark, sf_dir):
-    return batching.segments(cdc(spark, sf_dir), "user_id", VERSION, F.col("event_type") == "signup").groupBy("user_id", "segment").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
+    return batching.segments(cdc(spark, sf_dir), "user_id", VERSION, F.col("event_type") == "signup", minute("ts", 3600)).groupBy("user_id", "segment").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
 
 
 @query("SELECT CAST(i AS BIGINT) AS n, least(pow(2.0, i), 30.0) AS backoff, least(i * 2.5, 300.0)::DOUBLE AS linear FROM range(200) t(i)")
@@ -343,9 +345,9 @@ def progress_rollup(spark, sf_dir):
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('O', 'P') AND o_orderdate > (SELECT max(o_orderdate) FROM orders) - INTERVAL 720 HOUR")
 def resumable_snapshots(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    now = orders.agg(F.max("o_orderdate")).first()[0]
+    orders = orders.join(F.broadcast(orders.agg(F.max("o_orderdate").alias("now"))))  # one row
     status = F.when(F.col("o_orderstatus") == "O", "PENDING").when(F.col("o_orderstatus") == "P", "IN_PROGRESS").otherwise("COMPLETED")
-    return snapshot.resumable(orders.select("o_orderkey", status.alias("status"), F.col("o_orderdate").alias("created_at")), F.lit(now).cast("timestamp_ntz"), 720).select("o_orderkey")
+    return snapshot.resumable(orders.select("o_orderkey", status.alias("status"), F.col("o_orderdate").alias("created_at"), "now"), F.col("now"), 720).select("o_orderkey")
 
 
 @query("SELECT name, difference FROM (SELECT coalesce(a.name, b.name) AS name, CASE WHEN b.t IS NULL THEN 'extra' WHEN a.t IS NULL THEN 'missing' WHEN a.t <> b.t THEN 'type' END AS difference FROM (SELECT p_brand AS name, CAST(max(p_size) % 3 AS VARCHAR) AS t FROM part GROUP BY 1) a FULL JOIN (SELECT p_type AS name, CAST(min(p_size) % 3 AS VARCHAR) AS t FROM part GROUP BY 1 UNION ALL SELECT p_brand, CAST(min(p_size) % 3 AS VARCHAR) FROM part GROUP BY 1) b ON a.name = b.name) WHERE difference IS NOT NULL")
@@ -458,10 +460,60 @@ def stream_apply(spark, sf_dir):
 
 
 def _work_dir(spark: SparkSession) -> str:
-    import uuid
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}" if root else "file://" + tempfile.mkdtemp(prefix="changelake-")
+
+def _change_log(spark: SparkSession, sf_dir: str, before: str, after: list[str]):
+    """A log of the customers: `before` creates the table c, all rows come in one batch, then the statements of `after` in another."""
+    from .streaming.sink import ChangeLog
+
+    log = ChangeLog(spark, f"{_work_dir(spark)}/out")
+    rows = table(spark, sf_dir, "customer")
+    null = F.lit(None).cast("map<string,string>")
+
+    def events(op, data, sql, offset):
+        position = F.struct(F.lit("log.1").alias("file"), offset.cast("bigint").alias("offset"), F.lit(None).cast("string").alias("gtid"))
+        return [F.concat(F.lit("e"), offset.cast("string")).alias("id"), F.lit(op).alias("op"), F.lit("shop").alias("database"), F.lit("c" if op == INSERT else None).cast("string").alias("table"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("ts"), position.alias("position"), F.lit(0).alias("ordinal"), data.alias("data"), null.alias("old_data"), F.lit(sql).cast("string").alias("sql")]
+
+    inserts = rows.select(*events(INSERT, F.create_map(F.lit("k"), F.col("c_custkey").cast("string"), F.lit("name"), F.col("c_name")), None, F.col("c_custkey") + 10))
+    log.apply(inserts.unionByName(spark.range(1).select(*events("DDL", null, before, F.lit(0)))), 0)
+    changes = None
+    for i, text in enumerate(after):
+        one = spark.range(1).select(*events("DDL", null, text, F.lit(10**12 + i)))
+        changes = one if changes is None else changes.unionByName(one)
+    more = rows.where("c_custkey % 10 = 0").select(*events(INSERT, F.create_map(F.lit("k"), (-F.col("c_custkey") - 1).cast("string"), F.lit("n"), F.lit("5")), None, F.col("c_custkey") + 10**13))
+    log.apply(changes.unionByName(more), 1)
+    return log.current("c")
+
+
+@query("SELECT CAST(-c_custkey - 1 AS BIGINT) AS k, CAST(5 AS INTEGER) AS n FROM customer WHERE c_custkey % 10 = 0")
+def recreated_table(spark, sf_dir):
+    """DROP and CREATE: no row of the old table shows."""
+    return _change_log(spark, sf_dir, "CREATE TABLE c (k BIGINT PRIMARY KEY, name TEXT)", ["DROP TABLE c", "CREATE TABLE c (k BIGINT PRIMARY KEY, n INT)"])
+
+
+@query("SELECT c_custkey AS k, c_name AS name, CAST(7 AS INTEGER) AS n FROM customer UNION ALL SELECT -c_custkey - 1, NULL, CAST(5 AS INTEGER) FROM customer WHERE c_custkey % 10 = 0")
+def added_default(spark, sf_dir):
+    """ADD COLUMN with a default, which older rows then have."""
+    return _change_log(spark, sf_dir, "CREATE TABLE c (k BIGINT PRIMARY KEY, name TEXT)", ["ALTER TABLE c ADD COLUMN n INT NOT NULL DEFAULT 7"])
+
+
+@query("SELECT event_type, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM events GROUP BY 1")
+def buffer_sizes(spark, sf_dir):
+    return batching.buffered(table(spark, sf_dir, "events").select("event_type"), "event_type")
+
+
+@query("SELECT CAST(floor(o_orderkey / 500) AS BIGINT) AS batch, CAST(floor(o_orderkey / 500) AS BIGINT) % 4 AS worker, count(*) AS n FROM orders GROUP BY 1, 2")
+def batch_handoff(spark, sf_dir):
+    batches = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 500).cast("bigint").alias("batch")).agg(F.count("*").alias("n"))
+    return batching.handoff(batches, F.col("batch"), 4).withColumn("worker", F.col("worker").cast("bigint"))
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1 ORDER BY o_orderdate DESC, o_custkey DESC LIMIT 20")
+def snapshot_list(spark, sf_dir):
+    """The newest version of each snapshot (here: the newest order of each customer), then the 20 newest."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return state.newest(merge.latest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]), "o_orderdate", 20, "o_custkey")
 
 
 DDL_TEXTS = [

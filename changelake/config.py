@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from .functions.tablefilter import TableFilter
 
-_REFERENCE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)(?::([-?])([^}]*))?\}|\$([A-Za-z_][A-Za-z0-9_]*)")
-
-
 class ConfigError(ValueError):
     pass
 
@@ -19,16 +15,42 @@ class ConfigError(ValueError):
 def expand(text: str, env: Mapping[str, str] | None = None) -> str:
     """Replaces ${V}, $V (unset: empty), ${V:-default} (unset or empty: default) and ${V:?message} (unset or empty: an error, the first one)."""
     env = os.environ if env is None else env
-
-    def one(m: re.Match) -> str:
-        value = env.get(m[1] or m[4], "")
-        if m[2] == "-":
-            return value or m[3]
-        if m[2] == "?" and not value:
-            raise ConfigError(f"required environment variable {m[1]} is not set: {m[3]}" if m[3] else f"required environment variable {m[1]} is not set")
-        return value
-
-    return _REFERENCE.sub(one, text)
+    out, at = [], 0
+    while (dollar := text.find("$", at)) >= 0:
+        out.append(text[at:dollar])
+        value, at = _reference(text, dollar, env)
+        out.append(value)
+    return "".join(out) + text[at:]
+
+
+def _name_end(text: str, at: int) -> int:
+    """Behind the name that begins at `at`; `at` itself, where none does."""
+    end = at
+    while end < len(text) and text[end].isascii() and (text[end].isalpha() or text[end] == "_" or (end > at and text[end].isdigit())):
+        end += 1
+    return end
+
+
+def _reference(text: str, dollar: int, env: Mapping[str, str]) -> tuple[str, int]:
+    """What stands for the reference at a dollar sign, and where the text goes on. What is no reference stands for itself."""
+    braced = text.startswith("{", dollar + 1)
+    begin = dollar + 1 + braced
+    end = _name_end(text, begin)
+    if end == begin:
+        return "$", dollar + 1
+    name = text[begin:end]
+    value = env.get(name, "")
+    if not braced:
+        return value, end
+    close = text.find("}", end)
+    rest = text[end:close]
+    if close < 0 or rest and not rest.startswith((":-", ":?")):
+        return "$", dollar + 1
+    if rest and not value:
+        if rest[1] == "?":
+            raise ConfigError(f"required environment variable {name} is not set" + (f": {rest[2:]}" if rest[2:] else ""))
+        value = rest[2:]
+    return value, close + 1
 
 
 @dataclass

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: What a name may be, and how long.
 PATTERN = "^[a-zA-Z_][a-zA-Z0-9_]*$"
 LONGEST = 255
 _VALID = re.compile(PATTERN.rstrip("$") + r"\Z")

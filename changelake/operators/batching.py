@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import running_sum
+
 
 def by_table_and_kind(log: DataFrame, table: str, op: str, position: str) -> DataFrame:
     return log.groupBy(table, op).agg(F.count("*").alias("n"), F.min(position).alias("first_position"), F.max(position).alias("last_position"))
 
 
-def count_batches(log: DataFrame, table: str, order: list[str], size: int) -> DataFrame:
-    """Adds batch_no: batches of `size` rows of a table, in order."""
-    return log.withColumn("batch_no", F.floor((F.row_number().over(Window.partitionBy(table).orderBy(*order)) - 1) / size).cast("bigint"))
+def count_batches(log: DataFrame, table: str, order: list[str], size: int, part: Column) -> DataFrame:
+    """Adds batch_no: batches of `size` rows of a table, in order. part: as in running_sum, such as the minute of the first order column."""
+    return running_sum(log, [table], order, part, F.lit(1), "__n").withColumn("batch_no", F.floor((F.col("__n") - 1) / size).cast("bigint")).drop("__n")
 
 
 def time_batches(log: DataFrame, ts: str, every: str) -> DataFrame:
@@ -20,15 +22,24 @@ def time_batches(log: DataFrame, ts: str, every: str) -> DataFrame:
     return log.groupBy(F.window(F.col(ts).cast("timestamp"), every).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("batch_start"), "n")
 
 
-def fifo(log: DataFrame, table: str, order: list[str]) -> DataFrame:
+def fifo(log: DataFrame, table: str, order: list[str], part: Column) -> DataFrame:
     """Adds seq: the place of a row among its table's rows."""
-    return log.withColumn("seq", F.row_number().over(Window.partitionBy(table).orderBy(*order)).cast("bigint"))
+    return running_sum(log, [table], order, part, F.lit(1), "seq")
 
 
-def segments(log: DataFrame, table: str, order: list[str], is_ddl: Column) -> DataFrame:
+def segments(log: DataFrame, table: str, order: list[str], is_ddl: Column, part: Column) -> DataFrame:
     """Adds segment: the number of schema changes of the table up to and with the row."""
-    running = Window.partitionBy(table).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return log.withColumn("segment", F.sum(is_ddl.cast("bigint")).over(running))
+    return running_sum(log, [table], order, part, is_ddl, "segment")
+
+
+def buffered(log: DataFrame, table: str) -> DataFrame:
+    """Rows of each table that wait, and of all."""
+    return log.groupBy(table).agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0))).cast("bigint"))
+
+
+def handoff(batches: DataFrame, batch: Column, workers: int) -> DataFrame:
+    """Adds worker: batches go round to the workers in turn."""
+    return batches.withColumn("worker", F.pmod(batch, F.lit(workers)).cast("int"))
 
 
 def backoff_seconds(n: Column, cap: float = 30.0) -> Column:

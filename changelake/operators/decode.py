@@ -17,15 +17,25 @@ def is_transaction_control(sql: Column) -> Column:
     return up.isin(*TRANSACTION) | up.startswith("SAVEPOINT ")
 
 
+#: Why a row can't be decoded.
+UNNAMED = "row values without column names; full row metadata is needed"
+
+
+def is_named(names: Column, values: Column) -> Column:
+    """Whether there are names, and at least as many as values."""
+    return F.coalesce((F.size(names) > 0) & (F.size(values) <= F.size(names)), F.lit(False))
+
+
 def row_map(names: Column, values: Column) -> Column:
-    """Column names to values; fewer values than names give a partial map. More values, or no names, are an error."""
-    fine = (F.size(names) > 0) & (F.size(values) <= F.size(names))
-    pairs = F.map_from_arrays(F.slice(names, F.lit(1), F.size(values)), values)
-    return F.when(fine, pairs).otherwise(F.raise_error(F.lit("row values without column names; full row metadata is needed")).cast("map<string,string>"))
+    """Column names to values; fewer values than names give a partial map; NULL where values aren't named."""
+    return F.when(is_named(names, values), F.map_from_arrays(F.slice(names, F.lit(1), F.size(values)), values))
+
 
+def decode(raw: DataFrame, on_bad_row: str = "dead") -> DataFrame:
+    """Events (model.EVENT and `problem`) of raw records (model.RAW).
 
-def decode(raw: DataFrame) -> DataFrame:
-    """Events (model.EVENT) of raw records (model.RAW).
+    A row that can't be decoded is an event without data, whose `problem` says why, for the dead letters; with on_bad_row "fail" it ends the
+    query.
 
     UPDATE records hold pairs of before and after images; a row without its pair is dropped. Records of other types, and transaction
     control, are dropped. Ids are made from the position, so that a replay gives the same ones.
@@ -42,9 +52,14 @@ def decode(raw: DataFrame) -> DataFrame:
     each = raw.select("*", F.posexplode(images).alias("ordinal", "image"))
     data = F.when(F.col("image.new").isNotNull(), row_map(F.col("column_names"), F.col("image.new")))
     old = F.when(F.col("image.old").isNotNull(), row_map(F.col("column_names"), F.col("image.old")))
+    problem = F.lit(None).cast("string")
+    for image in ("image.old", "image.new"):
+        problem = F.when(F.col(image).isNotNull() & ~is_named(F.col("column_names"), F.col(image)), UNNAMED).otherwise(problem)
+    if on_bad_row == "fail":
+        problem = F.when(problem.isNotNull(), F.raise_error(problem).cast("string"))
     ident = F.sha2(F.concat_ws(":", "log_file", F.col("log_pos").cast("string"), F.col("ordinal").cast("string")), 256)
     position = F.struct(F.col("log_file").alias("file"), F.col("log_pos").alias("offset"), F.col("gtid").alias("gtid"))
-    return each.select(ident.alias("id"), "op", "database", F.when(F.col("op") != DDL, F.col("table")).alias("table"), F.timestamp_seconds("timestamp").alias("ts"), position.alias("position"), "ordinal", data.alias("data"), old.alias("old_data"), F.when(F.col("op") == DDL, F.col("sql")).alias("sql"))
+    return each.select(ident.alias("id"), "op", "database", F.when(F.col("op") != DDL, F.col("table")).alias("table"), F.timestamp_seconds("timestamp").alias("ts"), position.alias("position"), "ordinal", data.alias("data"), old.alias("old_data"), F.when(F.col("op") == DDL, F.col("sql")).alias("sql"), problem.alias("problem"))
 
 
 def before_images(log: DataFrame, key: str, order: list[str], value: str, op: str = "op") -> DataFrame:

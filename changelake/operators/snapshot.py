@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tablefilter import TableFilter
 from ..model import COMPLETED, DELETED, FAILED, IN_PROGRESS, PENDING, SCHEMA_ONLY, VERSION
+from .order import running_sum
 
 FINISHED = (COMPLETED, SCHEMA_ONLY)
 
@@ -31,20 +32,21 @@ def offset_page(df: DataFrame, order: list[str], offset: int, n: int) -> DataFra
     return df.orderBy(*order).offset(offset).limit(n)
 
 
+#: Ranges of key values that chunk_plan counts.
+RANGES = 1 << 16
+
+
 def chunk_plan(df: DataFrame, key: str, size: int) -> DataFrame:
     """chunk_index, start_key, end_key, n of ranges of `size` keys of a numeric key, without one task seeing all rows.
 
-    Keys are counted in ranges of their values, counts are summed up over the few ranges, and only rank within a range is a window.
+    Keys are counted in ranges of their values, counts are summed up over the ranges, and only rank within a range is a window. The range is
+    reckoned in floating point, which never falls as keys grow, over any width of keys.
     """
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        return df.sparkSession.createDataFrame([], "chunk_index bigint, start_key bigint, end_key bigint, n bigint")
-    ranges = 1024
-    part = F.floor((F.col(key) - F.lit(low)) * F.lit(ranges) / F.lit(high - low + 1)).cast("int")
-    keyed = df.select(F.col(key).alias("k"), part.alias("part"))
-    before = keyed.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n")).select("part", "before")  # `ranges` rows
-    rank = F.row_number().over(Window.partitionBy("part").orderBy("k"))
-    placed = keyed.withColumn("rn", rank).join(F.broadcast(before), "part").withColumn("chunk_index", F.floor((F.col("rn") + F.col("before") - 1) / size).cast("bigint"))
+    ends = df.agg(F.min(key).cast("double").alias("low"), F.max(key).cast("double").alias("high"))  # one row
+    width = F.greatest(F.col("high") - F.col("low"), F.lit(1.0))
+    part = F.least(F.floor((F.col("k").cast("double") - F.col("low")) / width * F.lit(float(RANGES))).cast("int"), F.lit(RANGES - 1))
+    keyed = df.select(F.col(key).alias("k")).where("k is not null").join(F.broadcast(ends)).select("k", part.alias("part"))
+    placed = running_sum(keyed, [], ["k"], F.col("part"), F.lit(1), "rn").withColumn("chunk_index", F.floor((F.col("rn") - 1) / size).cast("bigint"))
     return placed.groupBy("chunk_index").agg(F.min("k").alias("start_key"), F.max("k").alias("end_key"), F.count("*").alias("n"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..model import CHECKPOINT, PROGRESS
 from .merge import latest
+from .order import minute, running_sum
 
 
 def newest(df: DataFrame, created: str, n: int = 100, tie: str | None = None) -> DataFrame:
@@ -29,9 +30,11 @@ def retained(df: DataFrame, created: str, keep: str, now: Column | None = None)
 
 def trigger(log: DataFrame, order: list[str], ts: str, events: int = 1000, seconds: int = 30) -> DataFrame:
     """Rows at which a checkpoint falls due: each `events`-th one, or the first in a new span of `seconds`."""
-    w = Window.orderBy(*order)
-    span = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("bigint")
-    return log.withColumns({"event_no": F.row_number().over(w).cast("bigint"), "span": span}).withColumn("__prior", F.lag("span").over(w)).where((F.col("event_no") % events == 0) | (F.col("span") != F.col("__prior"))).drop("__prior", "span")
+    span = minute(ts, seconds)
+    numbered = running_sum(log, [], order, span, F.lit(1), "event_no").withColumn("__span", span)
+    first = numbered.groupBy("__span").agg(F.min("event_no").alias("__first"))  # in its span
+    due = numbered.join(first, "__span").where((F.col("event_no") % events == 0) | ((F.col("event_no") == F.col("__first")) & (F.col("event_no") > 1)))
+    return due.drop("__span", "__first")
 
 
 class StateStore:
@@ -72,6 +75,10 @@ class StateStore:
     def latest_progress(self):
         return newest(self.progress(), "created_at", 1, "id").first()
 
+    def list_progress(self, n: int = 100) -> DataFrame:
+        """The n newest snapshots, each in its newest version."""
+        return newest(self.progress(), "created_at", n, "id")
+
     def has_completed_snapshot(self) -> bool:
         return not self.progress().where("status = 'COMPLETED'").isEmpty()
 

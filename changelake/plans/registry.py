@@ -5,6 +5,7 @@ from __future__ import annotations
 import copy
 import json
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ class Field:
     nullable: bool = True
     default: str | None = None
     primary_key: bool = False
+    #: What rows read that are older than the column: its default when it was added.
+    initial: str | None = None
 
 
 @dataclass
@@ -39,6 +42,8 @@ class Table:
     next_id: int = 1
     version: int = 1
     dropped: bool = False
+    #: The version with which the table was created, anew after a drop. Files of older versions are those of another table.
+    created: int = 1
 
     @property
     def keys(self) -> list[str]:
@@ -77,8 +82,9 @@ class Registry:
     def at(self, name: str, version: int) -> Table:
         return next(t for t in self.history[name] if t.version == version)
 
-    def apply(self, s: Statement) -> list[str]:
-        """Applies a statement whole or not at all; returns its warnings."""
+    def apply(self, s: Statement, at: datetime | None = None) -> list[str]:
+        """Applies a statement whole or not at all; returns its warnings. at: when it ran, which is what a default of the present time means
+        for the rows that are there."""
         if s.kind == "UNSUPPORTED" or s.table is None:
             return s.warnings
         if s.destructive and not self.allow_destructive:
@@ -90,7 +96,8 @@ class Registry:
                     raise SchemaError(f"table {s.table} exists")
                 return warnings
             old = self.tables.get(s.table)
-            table = Table(s.table, next_id=old.next_id if old else 1, version=old.version + 1 if old else 1)
+            version = old.version + 1 if old else 1
+            table = Table(s.table, next_id=old.next_id if old else 1, version=version, created=version)
             for c in s.columns:
                 self._add(table, c, None)
             if not table.keys:
@@ -106,7 +113,7 @@ class Registry:
             table = copy.deepcopy(self.get(s.table))
             table.version += 1
             for o in s.operations:
-                warnings += self._alter(table, o)
+                warnings += self._alter(table, o, at)
         self.tables[s.table] = table
         self.history.setdefault(s.table, []).append(copy.deepcopy(table))
         return warnings
@@ -118,11 +125,13 @@ class Registry:
         table.fields.insert(at, Field(table.next_id, c.name, c.target_type, c.nullable, c.target_default, c.primary_key))
         table.next_id += 1
 
-    def _alter(self, table: Table, o: Operation) -> list[str]:
+    def _alter(self, table: Table, o: Operation, at: datetime | None = None) -> list[str]:
         if o.action == "ADD":
             if o.after:
                 table.find(o.after)
             self._add(table, o.column, o.after)
+            added = table.find(o.column.name)
+            added.initial = _at(added.default, at)
             return []
         if o.action == "DROP":
             table.fields.remove(table.find(o.name))
@@ -176,19 +185,28 @@ class Registry:
         return cls(allow_destructive)
 
 
+def _at(default: str | None, at: datetime | None) -> str | None:
+    """A default as a constant, where it is the present time and that is known."""
+    if at is None or default is None:
+        return default
+    return {"localtimestamp()": f"TIMESTAMP_NTZ'{at:%Y-%m-%d %H:%M:%S}'", "current_date()": f"DATE'{at:%Y-%m-%d}'"}.get(default, default)
+
+
 def physical(field_id: int) -> str:
     """Name of a column in change-log files."""
     return f"c{field_id}"
 
 
 def view(log: DataFrame, table: Table) -> DataFrame:
-    """Change-log files with the names and types of a schema version; columns that a file lacks, or that can't be cast, are NULL."""
+    """Change-log files with the names and types of a schema version. A column that a file lacks has the default with which it was added;
+    values that can't be cast are NULL."""
     have = {f.name: f.dataType.simpleString() for f in log.schema.fields}
     cols = []
     for f in table.fields:
         p = physical(f.column_id)
         if p not in have:
-            cols.append(F.lit(None).cast(f.type).alias(f.name))
+            older = F.lit(None) if f.initial is None else F.expr(f.initial)
+            cols.append(older.cast(f.type).alias(f.name))
         elif have[p] == "string":
             cols.append(convert(F.col(p), f.type).alias(f.name))
         else:

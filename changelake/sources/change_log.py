@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from ..model import RAW
+from ..operators.order import file_key
+
+#: Bytes of a log file that one task reads.
+SPLIT = 64 << 20
 
 
 def json_stream(spark: SparkSession, path: str, max_files: int = 16) -> DataFrame:
@@ -46,7 +50,7 @@ class _Reader(DataSourceStreamReader):
         self.names = [f.name for f in RAW.fields]
 
     def _files(self) -> list[str]:
-        return sorted(f for f in os.listdir(self.path) if not f.startswith((".", "_")))
+        return sorted((f for f in os.listdir(self.path) if not f.startswith((".", "_"))), key=file_key)
 
     def _end(self) -> dict:
         files = self._files()
@@ -64,17 +68,19 @@ class _Reader(DataSourceStreamReader):
             raise RuntimeError(f"log file {start['file']} is gone; set failOnDataLoss to false to go on without what it held")
         out: list[InputPartition] = []
         for f in files:
-            if start["file"] <= f <= end["file"]:
+            if (not start["file"] or file_key(start["file"]) <= file_key(f)) and end["file"] and file_key(f) <= file_key(end["file"]):
                 a = start["offset"] if f == start["file"] else 0
                 b = end["offset"] if f == end["file"] else os.path.getsize(f"{self.path}/{f}")
-                if a < b:
-                    out.append(_Part(f, a, b))
+                out += [_Part(f, at, min(b, at + SPLIT)) for at in range(a, b, SPLIT)]
         return out
 
     def read(self, partition: _Part) -> Iterator[tuple]:
+        """The lines that begin in the part, one after another."""
         with open(f"{self.path}/{partition.file}", "rb") as f:
-            f.seek(partition.start)
-            for line in f.read(partition.end - partition.start).splitlines():
+            f.seek(max(0, partition.start - 1))
+            if partition.start and f.read(1) != b"\n":
+                f.readline()  # begun in the part before
+            while f.tell() < partition.end and (line := f.readline()):
                 if line.strip():
                     row = json.loads(line)
                     row["log_file"], row["log_pos"] = row.get("log_file") or partition.file, row.get("log_pos")

@@ -6,17 +6,22 @@ import time
 from collections.abc import Callable
 from typing import TypeVar
 
+from pyspark.errors import AnalysisException, IllegalArgumentException, ParseException, PySparkException
+
 X = TypeVar("X")
 
-#: Parts of error texts that a retry can't mend, and such that it may.
-FINAL = ("syntax error", "already exists", "doesn't exist", "does not exist", "unknown column", "type mismatch", "permission denied", "access denied")
-PASSING = ("timeout", "timed out", "connection", "network", "temporarily", "too many", "unavailable", "broken pipe", "reset by peer")
+#: Spark's error conditions that no retry mends: the statement, its names and its types are wrong. A prefix stands for all that begin so.
+FINAL_CONDITIONS = ("PARSE_", "UNRESOLVED_", "TABLE_OR_VIEW_", "DATATYPE_MISMATCH", "CAST_", "DIVIDE_BY_ZERO", "UNSUPPORTED_", "INVALID_", "USER_RAISED_EXCEPTION")
+#: Python's classes of errors that no retry mends. (ValueError holds SchemaError and ConfigError.)
+FINAL_CLASSES = (ValueError, TypeError, KeyError, AttributeError, PermissionError, FileExistsError, NotImplementedError)
 
 
 def is_retryable(error: BaseException) -> bool:
-    """Known final errors aren't; everything else is."""
-    text = str(error).lower()
-    return any(p in text for p in PASSING) or not any(p in text for p in FINAL)
+    """Whether the same call may succeed later: yes for what the network, files and lost executors do, no for wrong statements and values."""
+    if isinstance(error, PySparkException):
+        condition = error.getCondition() or ""
+        return not isinstance(error, (AnalysisException, ParseException, IllegalArgumentException)) and not condition.startswith(FINAL_CONDITIONS)
+    return not isinstance(error, FINAL_CLASSES)
 
 
 def delay_seconds(attempt: int, base: float, cap: float = 300.0) -> float:

@@ -120,3 +120,98 @@ def test_state(spark, tmp_path):
     s.save_progress(id="a", status="IN_PROGRESS", total_tables=2)
     s.save_progress(id="a", status="COMPLETED", total_tables=2)
     assert s.has_completed_snapshot() and s.progress().count() == 1
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([tuple(r[f.name] for f in RAW.fields) for r in rows], RAW)
+
+
+def test_recreated_table_has_none_of_the_old_rows(spark, tmp_path):
+    log = ChangeLog(spark, f"file://{tmp_path}")
+    log.apply_raw(frame(spark, [record(1, "QUERY", sql="CREATE TABLE t (a INT PRIMARY KEY, b INT)"), record(2, "WRITE_ROWS", "t", ("a", "b"), [["1", "2"]])]), 0)
+    log.apply_raw(frame(spark, [record(3, "QUERY", sql="DROP TABLE t"), record(4, "QUERY", sql="CREATE TABLE t (x INT PRIMARY KEY, y TEXT)"), record(5, "WRITE_ROWS", "t", ("x", "y"), [["7", "seven"]])]), 1)
+    assert [tuple(r) for r in log.current("t").collect()] == [(7, "seven")]
+    log.compact("t")
+    assert [tuple(r) for r in log.current("t").collect()] == [(7, "seven")]
+    assert len(log.vacuum()) == 2 and [tuple(r) for r in log.current("t").collect()] == [(7, "seven")]
+
+
+def test_added_column_has_its_default_in_older_rows(spark, tmp_path):
+    log = ChangeLog(spark, f"file://{tmp_path}")
+    log.apply_raw(frame(spark, [record(1, "QUERY", sql="CREATE TABLE t (id INT PRIMARY KEY)"), record(2, "WRITE_ROWS", "t", ("id",), [["1"]])]), 0)
+    log.apply_raw(frame(spark, [record(3, "QUERY", sql="ALTER TABLE t ADD COLUMN n INT NOT NULL DEFAULT 7, ADD COLUMN s TEXT, ADD COLUMN at DATETIME DEFAULT CURRENT_TIMESTAMP"), record(4, "WRITE_ROWS", "t", ("id", "n", "s"), [["2", "8", "x"]])]), 1)
+    got = {r["id"]: r for r in log.current("t").collect()}
+    assert (got[1]["n"], got[1]["s"], got[2]["n"], got[2]["s"]) == (7, None, 8, "x")
+    assert str(got[1]["at"]) == "2023-11-14 22:13:20"  # when the column was added
+    log.apply_raw(frame(spark, [record(5, "QUERY", sql="ALTER TABLE t MODIFY n INT NOT NULL DEFAULT 9")]), 2)
+    log.compact("t")
+    assert {(r["id"], r["n"]) for r in log.current("t").collect()} == {(1, 7), (2, 8)}
+
+
+def test_snapshot_after_compaction(spark, tmp_path):
+    log = ChangeLog(spark, f"file://{tmp_path}")
+    log.apply_raw(frame(spark, [record(1, "QUERY", sql="CREATE TABLE users (id INT PRIMARY KEY, name TEXT)"), record(2, "WRITE_ROWS", "users", ("id", "name"), [["1", "changed"]])]), 0)
+    log.load_snapshot("users", spark.createDataFrame([(1, "old"), (2, "first")], "id int, name string"))
+    log.compact("users")
+    log.compact("users")
+    log.load_snapshot("users", spark.createDataFrame([(1, "old"), (2, "second"), (3, "new")], "id int, name string"))
+    assert live(log) == {(1, "changed"), (2, "second"), (3, "new")}
+    log.compact("users")
+    log.vacuum()
+    assert live(log) == {(1, "changed"), (2, "second"), (3, "new")}
+
+
+@pytest.mark.parametrize("source", ["batch", "changelog"])
+def test_log_files_go_by_number(spark, tmp_path, source):
+    rows = [record(9, "QUERY", sql="CREATE TABLE t (id INT PRIMARY KEY, v INT)") | {"log_file": "log.9"}, record(12, "WRITE_ROWS", "t", ("id", "v"), [["1", "1"]]) | {"log_file": "log.9"}, record(4, "UPDATE_ROWS", "t", ("id", "v"), [["1", "1"], ["1", "2"]]) | {"log_file": "log.10"}]
+    log = ChangeLog(spark, f"file://{tmp_path}/out")
+    if source == "batch":
+        log.apply_raw(frame(spark, rows[::-1]), 0)
+    else:
+        spark.dataSource.register(ChangeLogSource)
+        (tmp_path / "in").mkdir()
+        for name in ("log.9", "log.10"):
+            (tmp_path / "in" / name).write_text("".join(json.dumps(r) + "\n" for r in rows if r["log_file"] == name))
+        log.start(spark.readStream.format("changelog").option("path", str(tmp_path / "in")).load(), f"{tmp_path}/checkpoint", available_now=True).awaitTermination()
+    assert [tuple(r) for r in log.current("t").collect()] == [(1, 2)] and log.dead() is None
+
+
+def test_source_splits_a_file_between_lines(tmp_path, monkeypatch):
+    from changelake.sources import change_log
+
+    monkeypatch.setattr(change_log, "SPLIT", 97)
+    (tmp_path / "log.1").write_text("".join(json.dumps({"event_type": "X" * (i % 50), "log_pos": i}) + "\n" for i in range(200)))
+    reader = ChangeLogSource({"path": str(tmp_path)}).streamReader(RAW)
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert len(parts) > 50 and [r[3] for p in parts for r in reader.read(p)] == list(range(200))
+
+
+def test_rows_that_cannot_be_decoded(spark, tmp_path):
+    rows = [record(1, "QUERY", sql="CREATE TABLE t (id INT PRIMARY KEY, v INT)"), record(2, "WRITE_ROWS", "t", (), [["1", "1"]]), record(3, "WRITE_ROWS", "t", ("id", "v"), [["2", "2"], ["3", "3", "4"]])]
+    log = ChangeLog(spark, f"file://{tmp_path}/a")
+    log.apply_raw(frame(spark, rows), 0)
+    assert [tuple(r) for r in log.current("t").collect()] == [(2, 2)]
+    assert log.dead().where("reason like '%without column names%'").count() == 2
+    with pytest.raises(Exception, match="without column names"):
+        ChangeLog(spark, f"file://{tmp_path}/b", on_bad_row="fail").apply_raw(frame(spark, rows), 0)
+
+
+def test_running_sums_equal_one_window(spark):
+    from pyspark.sql import functions as F
+
+    from changelake.operators import order
+
+    rng = random.Random(4)
+    rows = [(None if i % 9 == 0 else "ab"[i % 7 > 1], rng.randint(0, 5000), i, rng.randint(0, 3)) for i in range(800)]
+    df = spark.createDataFrame(rows, "k string, t int, id int, v int")
+    got = {r["id"]: r["s"] for r in order.running_sum(df, ["k"], ["t", "id"], F.floor(F.col("t") / 100), F.col("v"), "s").collect()}
+    assert got == {i: sum(w for k2, t2, i2, w in rows if k2 == k and (t2, i2) <= (t, i)) for k, t, i, _ in rows}
+
+
+def test_chunk_plan_of_the_widest_keys(spark):
+    from changelake.operators import snapshot
+
+    keys = [-(2**63), -(2**62), -5, 0, 1, 2, 3, 2**53, 2**53 + 1, 2**62, 2**63 - 1]
+    got = sorted(map(tuple, snapshot.chunk_plan(spark.createDataFrame([(k,) for k in keys], "k long"), "k", 4).collect()))
+    assert got == [(0, keys[0], keys[3], 4), (1, keys[4], keys[7], 4), (2, keys[8], keys[10], 3)]
+    assert snapshot.chunk_plan(spark.createDataFrame([], "k long"), "k", 4).count() == 0
