@@ -2,33 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, attach
+from .scratch import Scratch
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of links (a, b), whose two ends may be in any order; component is the least node reachable.
 
-    Links to the least neighbour replace others until nothing changes, in rounds that grow with the logarithm of the longest chain. Nothing
-    is collected but a count and a checksum for each round. The links of a hot node, such as the least one of a large component, stay in
-    their tasks: its least neighbour is broadcast to them.
+    Edges (u, v) with v < u. In a round, the large star links u to the least neighbour of v, then the small star links u, and all to which u
+    has links, to the least of those; until nothing changes, in rounds that grow with the logarithm of the longest chain. Nothing is
+    collected but a count and a checksum for each round. The least node of a large component is the v of many edges; it is a key of the
+    join alone, whose skewed partitions adaptive execution splits, and not of a group, since nodes have links to few lesser ones.
     """
     edges = scratch.table(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark, n = None, edges.count()
+    mark = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("times")), "least")
-        large = scratch.table(attach(both, least, ["u"], 2 * n).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        # From here on, a node has links to lesser ones only, and as a rule few.
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
+        least = edges.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+        large = edges.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+        down = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+        pair = lambda c: F.struct(F.col(c).alias("u"), F.col("m").alias("v"))
+        small = down.select(F.explode(F.array(pair("u"), pair("v"))).alias("e")).select("e.*").where("u <> v").distinct()
         new = scratch.table(small, "edges")
         now = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        for old in (edges, least, large):
-            scratch.drop(old)
-        edges, n = new, now[0]
+        scratch.drop(edges)
+        edges = new
         if now == mark:
             break
         mark = now

@@ -240,11 +240,10 @@ class Join:
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Members as classes() gives them, and links (a, b) between representatives that connect whatever is connected."""
-        keep = self.scratch.table
         members, postings = self.classes()
         shared = self.shared(postings)
-        found = keep(self.heads(postings, shared), "links")
-        return members, keep(self.rest(postings, shared, found, self.heavy), "links")
+        found = self.heads(postings, shared)
+        return members, self.rest(postings, shared, found, self.heavy)
 
     def rest(self, postings: DataFrame, shared: DataFrame, found: DataFrame, heavy: int) -> DataFrame:
         """found and the links that it leaves out between documents that it doesn't connect."""
@@ -272,7 +271,7 @@ class Join:
                 self.scratch.drop(old)
             own, sizes = more, new
         pairs = self.pairs(own, met, ends, heavy)
-        found = keep(found.unionByName(self.probed(pairs)), "links")
+        found = found.unionByName(self.probed(pairs))
         # Two documents with fewer short lists than must be merged, all posted, may share none of them: they are joined among themselves.
         hard = ends.where("short < q").select("doc")
         if hard.limit(2).count() < 2:
