@@ -63,7 +63,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing_stage),
 ]
 
-#: SQL can't express the language model; the pipeline is tested against a brute-force version.
+#: SQL can't express the language model. The stages' operators are tested against brute force, the pipeline as a whole only for its stages' columns,
+#: ids and texts.
 ORACLE_SQL: str | None = None
 
 
