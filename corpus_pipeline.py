@@ -3,7 +3,8 @@
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes as Parquet to the shared
 folder and reads again for the next one. All but the last return the columns of docs, whatever they are, in their order.
 
-Rows: documents with null or letterless texts are rejected by the first stage; a null id has no group and stays; empty tables stay empty.
+Rows: documents with null or letterless texts are rejected by the first stage; a null id has no group and stays; rows that repeat an id are told
+apart by their texts, and of rows with the same id and text one stays; empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.llm import decontaminate, language_id, ngram_join, packing, pii
-from changelake.llm.scratch import Scratch
+from changelake.llm.scratch import Scratch, among
 
 #: A document whose language is less certain than this is rejected; and one whose best language saves fewer bits a byte than this against
 #: the letters' frequencies alone, since its contexts are then those of no language. (Clean texts save more than 2, odd short ones -1 to -2,
@@ -33,10 +34,20 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    groups = ngram_join.near_duplicates(docs)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest id of each group of near duplicates.
+
+    Texts of repeated ids get numbers of their own, behind all ids: of a group with another document, that one stays.
+    """
+    scratch = Scratch(spark, "near-duplicates")
+    twice = scratch.table(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    keyed = docs.withColumn("__key", F.col("doc_id").cast("long"))
+    if not twice.isEmpty():
+        last = max(0, docs.agg(F.max("doc_id")).first()[0])
+        again = among(docs, twice, "doc_id").dropDuplicates(["doc_id", "text"]).select(*docs.columns, (F.monotonically_increasing_id() + last + 1).alias("__key"))
+        keyed = keyed.join(twice, "doc_id", "left_anti").select(*keyed.columns).unionByName(scratch.table(again, "again"))  # written: the numbers stay
+    groups = ngram_join.near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"))
+    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("__key"))
+    return keyed.join(gone, "__key", "left_anti").select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +74,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing_stage),
 ]
 
-#: SQL can't express the language model. The stages' operators are tested against brute force, the pipeline as a whole only for its stages' columns,
-#: ids and texts.
+#: SQL can't express the language model: the whole pipeline is tested against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
