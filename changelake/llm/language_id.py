@@ -226,7 +226,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", lang_col: str
     names = [lang_col, score_col, *([saved_col] if saved_col else [])]
     df = df.drop(*names)
     shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the sampled documents
-    chunk = max(1 << 16, (1 << 22) // max(4, len(model.languages)))  # a byte takes four bytes for each language
+    chunk = max(1 << 16, (1 << 20) // max(4, len(model.languages)))  # a byte takes four bytes for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

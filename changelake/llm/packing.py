@@ -17,7 +17,6 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -81,12 +80,14 @@ class Ids:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode
+        self.kind = np.uint16 if max(tokenizer.get_vocab().values()) < 1 << 16 else np.uint32
         self._reset()
 
     def _reset(self) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # hashes, starts, sizes
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.levels: list[list[np.ndarray]] = []  # hashes, starts, sizes
+        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
 
     def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and sizes of the ids of hashes; start -1: unknown."""
@@ -98,19 +99,20 @@ class Ids:
         return start, size
 
     def _keep(self, keys: np.ndarray, rows: list[list[int]]) -> None:
-        size = np.array([len(r) for r in rows], np.int64)
-        start = self.used + np.cumsum(size) - size
-        flat = np.array([x for r in rows for x in r], np.uint32)
+        size = np.array([len(r) for r in rows], np.int32)
+        start = self.used + np.cumsum(size, dtype=np.int64) - size
+        flat = np.array([x for r in rows for x in r], self.kind)
         if self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(flat), self.used), np.uint32)])
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(flat), self.used // 4), self.kind)])
         self.pool[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        level = (keys, start, size)
+        level = [keys, start, size]
         while self.levels and len(self.levels[-1][0]) < 2 * len(level[0]):
             old = self.levels.pop()
-            merged = [np.concatenate([a, b]) for a, b in zip(old, level, strict=True)]
-            order = np.argsort(merged[0], kind="stable")
-            level = tuple(x[order] for x in merged)
+            order = np.argsort(np.concatenate([old[0], level[0]]), kind="stable")
+            for i in range(3):  # one column after another, each freed before the next
+                level[i] = np.concatenate([old[i], level[i]])[order]
+                old[i] = None
         self.levels.append(level)
 
     def _learn(self, words: list[str], hashes: np.ndarray) -> None:
@@ -148,7 +150,6 @@ class Ids:
         return self.pool[np.repeat(start - behind[:-1], size) + np.arange(behind[-1])], behind[words.first]
 
 
-@lru_cache(maxsize=2)
 def _ids(path: str) -> Ids | WholeTexts:
     return Ids(path) if splits_at_words(path) else WholeTexts(path)
 
@@ -159,7 +160,7 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     schema = T.StructType(fields + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * keep_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, last = _ids(tokenizer), np.array([end], np.uint32)
+        ids, last = textkit.held(f"ids of {tokenizer}", lambda: _ids(tokenizer)), np.array([end], np.uint32)
         for batch in batches:
             for part in textkit.pieces(batch, "text"):
                 take, piece, start, length, crc, kept = [], [], [], [], [], []
@@ -178,7 +179,7 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 cols = [part.column(0).take(pa.array(take, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.list_(pa.int32()))] * keep_ids, names=schema.names)
 
-    return textkit.map_arrow(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, schema)
+    return textkit.map_arrow(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, schema, holds=f"ids of {tokenizer}")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

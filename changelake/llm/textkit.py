@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+#: What this worker process remembers from one task to the next, by name.
+_HELD: dict[str, Any] = {}
+
+
+def held(name: str, make: Callable[[], Any]) -> Any:
+    """What an earlier task of this worker made under this name, or a new one. Tasks that don't name it in map_arrow make the worker forget it."""
+    if name not in _HELD:
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str, holds: str | None = None) -> DataFrame:
     """df.mapInArrow in batches of BATCH bytes at most, which the session keeps: a batch exists twice in the JVM and once in Python."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     now = conf.get(key).rstrip("b")
@@ -57,6 +69,9 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
         conf.set(key, str(BATCH))
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name in [x for x in _HELD if x != holds]:
+            del _HELD[name]
+        _give_back()
         try:
             yield from run(batches)
         finally:
@@ -66,7 +81,7 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 
 def _give_back() -> None:
-    """Returns what a finished task has freed to the system, since its worker process stays."""
+    """Returns what was freed to the system: workers stay, and what their heaps keep counts as an executor's memory."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
@@ -79,11 +94,14 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK) -> Iterator[p
     if not len(col):
         return
     size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0)), dtype=np.int64)
-    at = 0
+    at = kept = 0
     while at < len(col):
         done = size[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(size, done + limit, side="right")))
         yield batch.slice(at, to - at)
+        if size[to - 1] - kept >= CHUNK // 2:
+            kept = size[to - 1]
+            _give_back()
         at = to
 
 
